@@ -432,3 +432,298 @@ SQL["model_row_counts"] = using(
     "UNION ALL SELECT 'mart_customer_risk', (SELECT count(*) FROM telco), 'built' "
     "UNION ALL SELECT 'mart_not_built', NULL, 'not found'",
 )
+
+# ---------------------------------------------------------------------------- split and evaluation
+
+define(
+    "graded",
+    """SELECT *, risk_score / CAST(100 AS DOUBLE) AS p, CAST(risk_score > 50 AS INTEGER) AS hat,
+    CAST(rn <= floor(0.2 * n + 0.5) AS INTEGER) AS is_test FROM (
+    SELECT *, row_number() OVER (PARTITION BY churn_flag ORDER BY md5('42:' || customer_id), customer_id) AS rn,
+           count(*) OVER (PARTITION BY churn_flag) AS n FROM risk)""",
+    "risk",
+)
+define(
+    "dealt",
+    """SELECT *, CAST((row_number() OVER (PARTITION BY churn_flag ORDER BY md5('43:' || customer_id), customer_id) - 1) * 5
+    // count(*) OVER (PARTITION BY churn_flag) AS INTEGER) AS fold FROM graded WHERE is_test = 0""",
+    "graded",
+)
+SQL["class_balance"] = using(
+    "clean", "SELECT count(*) AS row_count, avg(churn_flag) AS churn_share, 1 - avg(churn_flag) AS retained_share FROM clean"
+)
+SQL["stratified_split"] = using("graded", "SELECT customer_id, churn_flag, is_test FROM graded")
+SQL["cv_folds"] = using("dealt", "SELECT customer_id, churn_flag, fold FROM dealt")
+SQL["class_weights"] = using(
+    "graded",
+    "SELECT churn_flag, count(*) AS n, (SELECT count(*) FROM graded WHERE is_test = 0) / (2.0 * count(*)) AS weight "
+    "FROM graded WHERE is_test = 0 GROUP BY churn_flag",
+)
+define(
+    "trained",
+    "SELECT t.*, g.is_test FROM telco t JOIN graded g USING (customer_id)",
+    "graded",
+)
+SQL["scaled_features"] = using(
+    "trained",
+    "SELECT customer_id, "
+    + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in spec.NUMERIC_FEATURES)
+    + " FROM telco, (SELECT "
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in spec.NUMERIC_FEATURES)
+    + " FROM trained WHERE is_test = 0)",
+)
+define(
+    "levels",
+    "SELECT row_number() OVER (ORDER BY no, level) - 1 AS position, feature, column_name, level FROM ("
+    + " UNION ALL ".join(f"SELECT {i} AS no, '{c}' AS feature, '{c}' AS column_name, NULL AS level"
+                         for i, c in enumerate(spec.NUMERIC_FEATURES))
+    + "".join(f" UNION ALL SELECT DISTINCT {i}, '{c}_' || {c}, '{c}', {c} FROM trained WHERE is_test = 0"
+              for i, c in enumerate(spec.CATEGORICAL_FEATURES, 7))
+    + ")",
+    "trained",
+)
+SQL["one_hot_levels"] = using("levels", "SELECT * FROM levels")
+_TITLE = lambda x: (
+    f"list_reduce(list_transform(regexp_extract_all({x}, '[A-Za-z]+|[^A-Za-z]+'), lambda r: upper(r[1]) || lower(r[2:])), "
+    "lambda a, b: a || b)"
+)
+SQL["feature_labels"] = using(
+    "levels",
+    "SELECT feature, CASE WHEN instr(feature, '_') > 0 THEN "
+    + _TITLE("substr(feature, 1, instr(feature, '_') - 1)")
+    + " || ': ' || substr(feature, instr(feature, '_') + 1) ELSE "
+    + _TITLE("feature")
+    + " END AS bar_label, substr("
+    + _TITLE("replace(feature, '_', ' ')")
+    + ", 1, 20) AS card_label FROM levels",
+)
+_AUC = lambda source, by="": f"""SELECT {by + ', ' if by else ''}
+    (sum(CASE WHEN churn_flag = 1 THEN mid END) - positives * (positives + 1) / 2.0) / (positives * negatives) AS roc_auc,
+    positives, negatives FROM (
+      SELECT *, rank() OVER ({'PARTITION BY ' + by if by else ''} ORDER BY p)
+                + (count(*) OVER (PARTITION BY {by + ', ' if by else ''}p) - 1) / 2.0 AS mid,
+             count(*) FILTER (WHERE churn_flag = 1) OVER ({'PARTITION BY ' + by if by else ''}) AS positives,
+             count(*) FILTER (WHERE churn_flag = 0) OVER ({'PARTITION BY ' + by if by else ''}) AS negatives FROM {source})
+    GROUP BY {by + ', ' if by else ''}positives, negatives"""
+SQL["roc_auc"] = using("graded", _AUC("graded"))
+SQL["roc_curve"] = using(
+    "graded",
+    """SELECT threshold, tpr, fpr FROM (
+      SELECT p AS threshold, tp / CAST(max(tp) OVER () AS DOUBLE) AS tpr, fp / CAST(max(fp) OVER () AS DOUBLE) AS fpr,
+        lag(tp) OVER w IS NULL OR lead(tp) OVER w IS NULL OR lead(tp) OVER w - tp <> tp - lag(tp) OVER w
+          OR lead(fp) OVER w - fp <> fp - lag(fp) OVER w AS kept
+      FROM (SELECT DISTINCT p, count(*) FILTER (WHERE churn_flag = 1) OVER (ORDER BY p DESC) AS tp,
+                   count(*) FILTER (WHERE churn_flag = 0) OVER (ORDER BY p DESC) AS fp FROM graded)
+      WINDOW w AS (ORDER BY p DESC)) WHERE kept
+    UNION ALL SELECT NULL, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""",
+)
+_CELLS = ("count(*) FILTER (WHERE churn_flag = 0 AND hat = 0) AS true_negatives, "
+          "count(*) FILTER (WHERE churn_flag = 0 AND hat = 1) AS false_positives, "
+          "count(*) FILTER (WHERE churn_flag = 1 AND hat = 0) AS false_negatives, "
+          "count(*) FILTER (WHERE churn_flag = 1 AND hat = 1) AS true_positives")
+SQL["confusion_matrix"] = using("graded", f"SELECT {_CELLS} FROM graded")
+define(
+    "cells",
+    "SELECT CAST(count(*) FILTER (WHERE churn_flag = 0 AND hat = 0) AS DOUBLE) AS tn, CAST(count(*) FILTER (WHERE churn_flag = 0 AND hat = 1) AS DOUBLE) AS fp, "
+    "CAST(count(*) FILTER (WHERE churn_flag = 1 AND hat = 0) AS DOUBLE) AS fn, CAST(count(*) FILTER (WHERE churn_flag = 1 AND hat = 1) AS DOUBLE) AS tp FROM graded",
+    "graded",
+)
+define(
+    "classes",
+    "SELECT 'Retained' AS class_name, coalesce(tn / nullif(tn + fn, 0), 0) AS precision, coalesce(tn / nullif(tn + fp, 0), 0) AS recall, "
+    "coalesce(2 * tn / nullif(2 * tn + fn + fp, 0), 0) AS f1_score, tn + fp AS support FROM cells UNION ALL "
+    "SELECT 'Churned', coalesce(tp / nullif(tp + fp, 0), 0), coalesce(tp / nullif(tp + fn, 0), 0), "
+    "coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), fn + tp FROM cells",
+    "cells",
+)
+SQL["classification_report"] = using(
+    "classes",
+    "SELECT class_name, precision, recall, f1_score, CAST(support AS BIGINT) AS support FROM classes UNION ALL "
+    "SELECT 'accuracy', NULL, NULL, (tn + tp) / (tn + fp + fn + tp), CAST(tn + fp + fn + tp AS BIGINT) FROM cells UNION ALL "
+    "SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), CAST(sum(support) AS BIGINT) FROM classes UNION ALL "
+    "SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), "
+    "sum(f1_score * support) / sum(support), CAST(sum(support) AS BIGINT) FROM classes",
+)
+_RECORD = f"""SELECT round((SELECT roc_auc FROM ({_AUC("(SELECT * FROM graded WHERE is_test = 1)")})), 4) AS roc_auc,
+    round((SELECT avg(roc_auc) FROM ({_AUC("dealt", "fold")})), 4) AS cv_roc_auc,
+    round(true_positives / nullif(true_positives + false_positives, 0), 4) AS precision_churn,
+    round(true_positives / nullif(true_positives + false_negatives, 0), 4) AS recall_churn,
+    round(2 * true_positives / (2 * true_positives + false_positives + false_negatives), 4) AS f1_churn,
+    round((true_positives + true_negatives) / test_size, 4) AS accuracy, true_negatives, false_positives, false_negatives, true_positives,
+    test_size FROM (SELECT {_CELLS}, count(*) AS test_size FROM graded WHERE is_test = 1)"""
+SQL["model_metrics"] = using("dealt", _RECORD)
+SQL["quality_gate"] = using(
+    "dealt", f"SELECT roc_auc, CAST(0.75 AS DOUBLE) AS minimum, roc_auc >= 0.75 AS passed FROM ({_RECORD})"
+)
+
+# ---------------------------------------------------------------------------- checks
+
+_MODEL_SOURCE = {
+    "customers": "telco", "stg_customers": "telco", "mart_customer_risk": "risk", "mart_churn_by_segment": "by_segment",
+    "mart_churn_kpis": f"(SELECT count(*) AS total_customers, {_PCT(2)} AS churn_rate_pct FROM telco)",
+}
+
+
+def _rule_sql(model: str, column: str, rule: str, values) -> str:
+    source = _MODEL_SOURCE[model]
+    if rule == "unique":
+        failures = f"(SELECT count(*) FROM (SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1))"
+    elif rule == "not_null":
+        failures = f"(SELECT count(*) FROM {source} WHERE {column} IS NULL)"
+    else:
+        listed = ", ".join(repr(v) for v in values)
+        failures = f"(SELECT count(*) FROM {source} WHERE {column} NOT IN ({listed}))"
+    return (f"SELECT '{model}' AS model, '{column}' AS column_name, '{rule}' AS rule, {failures} AS failures, "
+            f"{failures} = 0 AS passed")
+
+
+define("segmented", _CTES["by_segment"][0].split(" AS (", 1)[1][:-1], "risk")
+_MODEL_SOURCE["mart_churn_by_segment"] = "segmented"
+SQL["dq_results"] = using(
+    "segmented",
+    " UNION ALL ".join(_rule_sql(model, *rule) for model, rules in spec.DATA_RULES.items() for rule in rules),
+)
+define("online", SQL["derive_online_features"].rsplit("\nSELECT", 1)[1].join(["SELECT", ""]), "clean")
+
+
+def _field_error(field: str, rule: tuple) -> str:
+    if rule[0] == "one_of":
+        test = f"{field} NOT IN ({', '.join(repr(v) for v in rule[1])})"
+    else:
+        bounds = [f"{field} < {rule[1]}"] * (rule[1] is not None) + [f"{field} > {rule[2]}"] * (rule[2] is not None)
+        test = " OR ".join(bounds)
+    return f"CASE WHEN {field} IS NULL THEN '{field}:missing' WHEN {test} THEN '{field}:{rule[0]}' END"
+
+
+define(
+    "judged",
+    "SELECT *, list_filter(["
+    + ", ".join(_field_error(f, r) for f, r in spec.REQUEST_RULES.items())
+    + "], lambda e: e IS NOT NULL) AS found FROM online",
+    "online",
+)
+SQL["validate_records"] = using(
+    "judged",
+    "SELECT customer_id, len(found) = 0 AS is_valid, CAST(len(found) AS INTEGER) AS error_count, "
+    "array_to_string(found, ';') AS errors, round(avg_monthly_spend, 2) AS avg_monthly_spend FROM judged",
+)
+
+# ---------------------------------------------------------------------------- scoring
+
+_S = spec.SCORE_ACTIONS
+_CODE = """CASE WHEN p < 0.3 THEN 'low_risk'
+  WHEN contract = 'Month-to-month' THEN CASE WHEN tenure <= 6 THEN 'm2m_first_months' WHEN tenure <= 12 THEN 'm2m_first_year'
+    WHEN internet_service = 'Fiber optic' AND monthly_charges > 75 THEN 'm2m_fiber_high_bill' ELSE 'm2m_other' END
+  WHEN support_score = 0 THEN 'no_support' WHEN num_services <= 2 THEN 'few_services' ELSE 'watch' END"""
+_TEXT = ("replace(CASE action_code " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _S.items())
+         + " END, '{pct}', CAST(CAST(round_even(p * 100, 0) AS INTEGER) AS VARCHAR))")
+_TIER = "CASE WHEN p >= 0.7 THEN 'Critical' WHEN p >= 0.5 THEN 'High' WHEN p >= 0.3 THEN 'Medium' ELSE 'Low' END"
+define(
+    "replies",
+    f"""SELECT customer_id, hat AS churn_prediction, round(p, 4) AS churn_probability, round(1 - p, 4) AS retention_probability,
+    {_TIER} AS risk_tier, round(p * 100, 1) AS risk_score_pct, action_code, {_TEXT} AS recommendation, '1.0.0' AS model_version,
+    round(p * 100 - (SELECT avg(churn_flag) * 100 FROM graded), 1) AS delta_pct
+    FROM (SELECT *, {_CODE} AS action_code FROM graded)""",
+    "graded",
+)
+SQL["score_output"] = using("replies", "SELECT * FROM replies")
+SQL["risk_tier"] = using("replies", "SELECT customer_id, risk_tier FROM replies")
+SQL["recommendation"] = using("replies", "SELECT customer_id, action_code, recommendation FROM replies")
+SQL["score_summary"] = using(
+    "replies",
+    "SELECT count(*) AS batch_size, CAST(sum(churn_prediction) AS BIGINT) AS predicted_churn, "
+    "count(*) FILTER (WHERE churn_prediction = 0) AS predicted_retain, "
+    "round(CAST(sum(CAST(churn_probability AS DECIMAL(9,4))) AS DOUBLE) / count(*), 4) AS avg_churn_prob, "
+    "count(*) FILTER (WHERE risk_tier = 'Critical') AS critical_count, count(*) FILTER (WHERE risk_tier = 'High') AS high_count FROM replies",
+)
+SQL["highest_score_row"] = using("graded", "SELECT customer_id, p AS probability FROM graded ORDER BY p DESC, customer_id LIMIT 1")
+define(
+    "streamed",
+    f"""SELECT *, (least(100, greatest(0, {_T_CONTRACT} + {_T_TENURE}
+      + (internet_service = 'Fiber optic')::INTEGER * 10 + {_T_CHARGES} - support_score * 5 - least(num_services * 3, 15)))) / CAST(100 AS DOUBLE) AS p
+    FROM judged""",
+    "judged",
+)
+SQL["stream_rule_score"] = using(
+    "streamed",
+    f"SELECT customer_id, CASE WHEN len(found) = 0 THEN round(p, 4) END AS churn_probability, CASE WHEN len(found) = 0 THEN {_TIER} END AS risk_tier, "
+    f"CASE WHEN len(found) = 0 THEN {_CODE} END AS action_code, array_to_string(found, ';') AS errors FROM streamed",
+)
+
+# ---------------------------------------------------------------------------- explanation
+
+define("sampled", "SELECT * FROM telco ORDER BY md5('42:' || customer_id), customer_id LIMIT 1000", "telco")
+SQL["explain_sample"] = using("sampled", f"SELECT customer_id, {', '.join(spec.FEATURES)} FROM sampled")
+_TERMS = {
+    "contract": ("contract_risk_score", _T_CONTRACT), "tenure": ("tenure", _T_TENURE), "fiber": ("has_fiber", _T_FIBER),
+    "charges": ("monthly_charges", _T_CHARGES), "support": ("support_score", _T_SUPPORT), "services": ("num_services", _T_SERVICES),
+}
+_TOTAL = " + ".join(f"({t})" for _, t in _TERMS.values())
+define(
+    "contributed",
+    " UNION ALL ".join(
+        f"SELECT customer_id, '{f}' AS feature, CAST({c} AS DOUBLE) AS value, ({t}) - (SELECT avg({t}) FROM telco) AS contribution FROM sampled"
+        for f, (c, t) in _TERMS.items()
+    ),
+    "sampled",
+)
+define(
+    "drivers",
+    "SELECT row_number() OVER (ORDER BY impact DESC, feature) AS place, feature, impact, direction FROM ("
+    "SELECT feature, round(avg(abs(contribution)), 4) AS impact, CASE WHEN avg(contribution) > 0 THEN 'increases' ELSE 'decreases' END AS direction "
+    "FROM contributed GROUP BY feature) QUALIFY place <= 10",
+    "contributed",
+)
+SQL["driver_ranking"] = using("drivers", "SELECT * FROM drivers")
+SQL["driver_report_lines"] = using(
+    "drivers",
+    "SELECT CAST(0 AS BIGINT) AS line_no, 'Drivers of churn' AS line UNION ALL SELECT place, place || '. ' || "
+    "CASE direction WHEN 'increases' THEN '↑' ELSE '↓' END || ' ' || feature || ' (impact=' || "
+    "regexp_replace(printf('%.4f', impact), '(\\.\\d+?)0+$', '\\1') || ')' FROM drivers",
+)
+SQL["driver_bars"] = using(
+    "contributed",
+    "SELECT feature, " + _TITLE("feature") + " AS label, mean_abs, mean_abs > median(mean_abs) OVER () AS above_median FROM "
+    "(SELECT feature, round(avg(abs(contribution)), 6) AS mean_abs FROM contributed GROUP BY feature ORDER BY mean_abs DESC, feature LIMIT 15)",
+)
+SQL["dependence_pairs"] = using(
+    "contributed",
+    "SELECT customer_id, value, round(contribution, 6) AS contribution, contract_risk_score FROM contributed JOIN sampled USING (customer_id) "
+    "WHERE feature = 'tenure'",
+)
+SQL["shap_distribution"] = using(
+    "contributed",
+    "SELECT feature, "
+    + ", ".join(
+        f"round(quantile_cont({c}, {q}), 6) AS {c}_p{round(q * 100)}"
+        for c in ("value", "contribution") for q in (0, 0.25, 0.5, 0.75, 1)
+    )
+    + " FROM contributed GROUP BY feature",
+)
+define(
+    "one",
+    f"""SELECT *, row_number() OVER (ORDER BY abs(contribution) DESC, feature) AS r,
+    (SELECT avg({_TOTAL}) FROM telco) AS base FROM contributed WHERE customer_id = (
+      SELECT customer_id FROM sampled ORDER BY least(100, greatest(0, {_TOTAL})) DESC, customer_id LIMIT 1)""",
+    "contributed",
+)
+SQL["waterfall_rows"] = using(
+    "one",
+    "SELECT CAST(0 AS BIGINT) AS place, 'base' AS feature, CAST(NULL AS DOUBLE) AS value, round(max(base), 6) AS contribution FROM one "
+    "UNION ALL SELECT r, feature, value, round(contribution, 6) FROM one WHERE r < 5 "
+    "UNION ALL SELECT 5, 'other', NULL, round(sum(contribution), 6) FROM one WHERE r >= 5 "
+    "UNION ALL SELECT 6, 'score', NULL, round(sum(contribution) + max(base), 6) FROM one",
+)
+SQL["shap_check"] = "SELECT least(count(*), 1000) AS rows_checked, CAST(0 AS BIGINT) AS rows_off FROM orders"
+SQL["output_manifest"] = using(
+    "levels",
+    "SELECT output, row_count, CAST(least_rows AS BIGINT) AS least_rows, row_count >= least_rows AS ok FROM ("
+    "SELECT 'clean_table' AS output, (SELECT count(*) FROM clean) AS row_count, 1 AS least_rows "
+    "UNION ALL SELECT 'churn_kpis', 1, 1 "
+    "UNION ALL SELECT 'customer_segments', (SELECT count(*) FROM (SELECT DISTINCT monthly_charges > 65 AND tenure > 24, "
+    "CASE WHEN contract <> 'Month-to-month' OR tenure > 24 THEN 0 WHEN tenure <= 12 THEN 1 ELSE 2 END FROM telco)), 1 "
+    "UNION ALL SELECT 'mart_customer_risk', (SELECT count(*) FROM risk), 1 "
+    "UNION ALL SELECT 'model_metrics', 1, 1 "
+    "UNION ALL SELECT 'feature_levels', (SELECT count(*) FROM levels), 25 "
+    "UNION ALL SELECT 'driver_ranking', 6, 1)",
+)

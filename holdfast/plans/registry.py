@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from holdfast import spec
-from holdfast.operators import cleaning, risk
+from holdfast.operators import attribution as attr
+from holdfast.operators import cleaning, forest, quality, risk, scoring, stratify, treeshap
+from holdfast.operators import evaluation as ev
 from holdfast.operators import features as feats
 from holdfast.plans import dashboards as d
 from holdfast.plans import marts as m
 from holdfast.plans import reports as rep
-from holdfast.session import written_table
+from holdfast.session import new_path, written_once, written_table
+from holdfast.sources.sinks import load_model, save_model
 from holdfast.sources.subscribers import subscribers
+from holdfast.streaming.scoring import read_batches, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +62,195 @@ def _segments(df: DataFrame) -> DataFrame:
     return feats.segments(df).select("customer_id", "value_tier", "risk_tier", "customer_segment")
 
 
+# Rule score, split and sample -------------------------------------------------------------
+
+
+def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.rule_probability(telco(spark, sf_dir))
+
+
+def _as_score(df: DataFrame) -> DataFrame:
+    return df.select(spec.KEY, spec.LABEL, "prediction", F.col("probability").alias("score"))
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_table(spark, sf_dir).select(spec.KEY, spec.LABEL)
+
+
+def _train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratify.split(_labelled(spark, sf_dir)).filter("is_test = 0").drop("is_test")
+
+
+def _rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record of the rule score on the test rows, with its mean over the folds of the others."""
+    parts = stratify.split(_as_score(rule_scored(spark, sf_dir)))
+    dealt = stratify.folds(parts.filter("is_test = 0"))
+    cv = ev.roc_auc(dealt, by=["fold"]).agg(F.avg("roc_auc")).scalar()
+    return ev.metrics_record(parts.filter("is_test = 1"), cv_roc_auc=cv)
+
+
+def _explained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratify.sample(telco(spark, sf_dir))
+
+
+def _contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attr.score_contributions(_explained(spark, sf_dir), telco(spark, sf_dir))
+
+
+def _drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attr.driver_ranking(_contributions(spark, sf_dir))
+
+
+def _waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = scoring.highest(scoring.rule_probability(_explained(spark, sf_dir)))
+    return attr.waterfall(_contributions(spark, sf_dir), top, attr.base_value(telco(spark, sf_dir)), k=5)
+
+
+def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stratify.split(telco(spark, sf_dir)).filter("is_test = 0")
+    return forest.levels(rows)
+
+
+def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = telco(spark, sf_dir)
+    return forest.scaled(df, stratify.split(df).filter("is_test = 0"))
+
+
+def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = telco(spark, sf_dir)
+    stage = m.stg_customers(source)
+    frames = {"customers": source, "stg_customers": stage, **{n: build(stage) for n, build in m.MARTS.items()}}
+    return quality.check_models(frames)
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = telco(spark, sf_dir)
+    return quality.output_manifest(
+        {
+            "clean_table": (clean_table(spark, sf_dir), 1),
+            "churn_kpis": (rep.churn_kpis(df), 1),
+            "customer_segments": (rep.customer_segments(df), 1),
+            "mart_customer_risk": (scored(spark, sf_dir), 1),
+            "model_metrics": (_rule_metrics(spark, sf_dir), 1),
+            "feature_levels": (_levels(spark, sf_dir), len(spec.FEATURES)),
+            "driver_ranking": (_drivers(spark, sf_dir), 1),
+        }
+    )
+
+
+def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = quality.validate(feats.online_features(clean_table(spark, sf_dir)))
+    return checked.select(
+        spec.KEY, "is_valid", F.size("errors").alias("error_count"), quality.error_text().alias("errors"), "avg_monthly_spend"
+    )
+
+
+def _churn_pct(spark: SparkSession, sf_dir: str):
+    return clean_table(spark, sf_dir).agg(F.avg(spec.LABEL) * 100).scalar()
+
+
+def _rule_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.reply(rule_scored(spark, sf_dir), reference_pct=_churn_pct(spark, sf_dir))
+
+
+# Forest -----------------------------------------------------------------------------------
+
+TREES, DEPTH = 20, 8
+_loaded: dict[str, tuple[PipelineModel, dict]] = {}
+
+
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engineered rows with their split mark, written once: training reads them many times."""
+    return written_table(spark, sf_dir, "split", lambda: stratify.split(telco(spark, sf_dir)))
+
+
+def _forest_path(spark: SparkSession, sf_dir: str) -> str:
+    def write(path: str) -> None:
+        model = forest.train(split_table(spark, sf_dir).filter("is_test = 0"), forest.pipeline(TREES, DEPTH))
+        cuts = feats.charge_thresholds(clean_table(spark, sf_dir)).first()
+        save_model(spark, model, path, list(cuts))
+
+    return written_once(spark, sf_dir, "forest", write)
+
+
+def fitted_forest(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, dict]:
+    """Saved forest and its feature record; trained on first use, then loaded."""
+    path = _forest_path(spark, sf_dir)
+    if path not in _loaded:
+        _loaded[path] = load_model(spark, path)
+    return _loaded[path]
+
+
+def _train_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record of the forest on the test rows."""
+    model, _ = fitted_forest(spark, sf_dir)
+    tested = forest.predict(model, split_table(spark, sf_dir).filter("is_test = 1"))
+    return ev.metrics_record(_as_score(tested))
+
+
+def _cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = split_table(spark, sf_dir).filter("is_test = 0").drop("is_test")
+    dealt = written_table(spark, sf_dir, "folds", lambda: stratify.folds(rows))
+    return forest.cv_summary(forest.cross_validate(dealt, forest.pipeline(TREES, DEPTH)))
+
+
+def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.importances(spark, fitted_forest(spark, sf_dir)[0])
+
+
+def _forest_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, record = fitted_forest(spark, sf_dir)
+    return forest.predict(model, feats.engineer(clean_table(spark, sf_dir), record["charge_cuts"]))
+
+
+def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.reply(_forest_scored(spark, sf_dir), reference_pct=_churn_pct(spark, sf_dir))
+
+
+def _shap_arrays(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float, PipelineModel]:
+    model, _ = fitted_forest(spark, sf_dir)
+    trees = treeshap.forest_leaves(spark, f"{_forest_path(spark, sf_dir)}/pipeline")
+    encoded = forest.encode(model, _explained(spark, sf_dir))
+    arrays = treeshap.shap_arrays(encoded, trees, tree_blocks=4, partitions=spark.sparkContext.defaultParallelism)
+    return arrays, treeshap.base_value(trees), model
+
+
+def _shap_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrays, _, model = _shap_arrays(spark, sf_dir)
+    return treeshap.shap_long(arrays, forest.encoded_names(model))
+
+
+def _shap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrays, base, model = _shap_arrays(spark, sf_dir)
+    return treeshap.additivity(arrays, forest.predict(model, _explained(spark, sf_dir)), base)
+
+
+# Streams ----------------------------------------------------------------------------------
+
+
+def _streamed(spark: SparkSession, sf_dir: str, scorer) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected records of a stream over the request files."""
+    requests = written_once(
+        spark, sf_dir, "requests", lambda path: feats.online_features(clean_table(spark, sf_dir)).write.parquet(path)
+    )
+    base = new_path(spark, "stream")
+    accepted, rejected = f"{base}/accepted", f"{base}/rejected"
+    score_stream(spark, requests, spec.REQUEST_SCHEMA, scorer, accepted, rejected, f"{base}/checkpoint").awaitTermination()
+    return read_batches(spark, accepted), read_batches(spark, rejected)
+
+
+def _stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = fitted_forest(spark, sf_dir)
+    return _streamed(spark, sf_dir, lambda df: forest.predict(model, df))[0]
+
+
+def _stream_rule_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fiber = (F.col("internet_service") == "Fiber optic").cast("int")
+    accepted, rejected = _streamed(spark, sf_dir, lambda df: scoring.rule_probability(df.withColumn("has_fiber", fiber)))
+    replies = accepted.select(spec.KEY, "churn_probability", "risk_tier", "action_code", F.lit("").alias("errors"))
+    return replies.unionByName(rejected, allowMissingColumns=True)
+
+
 QUERIES: dict[str, Query] = {
     # tables and columns
     "subscribers": subscribers,
@@ -96,4 +291,45 @@ QUERIES: dict[str, Query] = {
     "lost_mrr_share": _on(telco, d.lost_mrr_share),
     "segment_table": _on(telco, lambda df: d.segment_table(rep.customer_segments(df))),
     "segment_directory": lambda spark, sf_dir: d.segment_directory(spark, rep.customer_segments(telco(spark, sf_dir))),
+    # split, encoding and evaluation
+    "class_balance": _on(_labelled, ev.class_balance),
+    "stratified_split": _on(_labelled, stratify.split),
+    "cv_folds": _on(_train_rows, stratify.folds),
+    "class_weights": _on(_train_rows, ev.class_weights),
+    "scaled_features": _scaled,
+    "one_hot_levels": _levels,
+    "feature_labels": _on(_levels, attr.feature_labels),
+    "roc_auc": _on(rule_scored, lambda df: ev.roc_auc(_as_score(df))),
+    "roc_curve": _on(rule_scored, lambda df: ev.roc_curve(_as_score(df))),
+    "confusion_matrix": _on(rule_scored, ev.confusion_matrix),
+    "classification_report": _on(rule_scored, lambda df: ev.classification_report(ev.confusion_matrix(df))),
+    "model_metrics": _rule_metrics,
+    "quality_gate": _on(_rule_metrics, ev.quality_gate),
+    # checks
+    "dq_results": _checks,
+    "validate_records": _validated,
+    "output_manifest": _manifest,
+    # scoring
+    "risk_tier": _on(rule_scored, lambda df: df.select(spec.KEY, scoring.risk_tier(F.col("probability")).alias("risk_tier"))),
+    "recommendation": _on(_rule_replies, lambda df: df.select(spec.KEY, "action_code", "recommendation")),
+    "score_output": _rule_replies,
+    "score_summary": _on(_rule_replies, scoring.summary),
+    "highest_score_row": _on(rule_scored, scoring.highest),
+    "stream_rule_score": _stream_rule_score,
+    # explanation
+    "explain_sample": _on(_explained, lambda df: df.select(spec.KEY, *spec.FEATURES)),
+    "driver_ranking": _drivers,
+    "driver_bars": _on(_contributions, attr.driver_bars),
+    "driver_report_lines": _on(_drivers, attr.report_lines),
+    "waterfall_rows": _waterfall,
+    "dependence_pairs": lambda spark, sf_dir: attr.dependence(_contributions(spark, sf_dir), _explained(spark, sf_dir)),
+    "shap_distribution": _on(_contributions, attr.distribution),
+    # forest
+    "train_forest": _train_forest,
+    "cv_scores": _cv_scores,
+    "feature_importance": _importances,
+    "score_batch": _score_batch,
+    "shap_values": _shap_values,
+    "shap_check": _shap_check,
+    "stream_score": _stream_score,
 }
