@@ -40,11 +40,11 @@ def score_contributions(
         F.struct(
             F.lit(name).alias("feature"),
             F.col(columns[name]).cast("double").alias("value"),
-            (term - means[name]).alias("contribution"),
+            (term - F.col("_means")[name]).alias("contribution"),
         )
         for name, term in terms.items()
     ]
-    return rows.select(F.col(key), F.inline(F.array(*entries)))
+    return rows.withColumn("_means", means).select(F.col(key), F.inline(F.array(*entries)))
 
 
 def base_value(population: DataFrame, terms: Mapping[str, Column] | None = None) -> DataFrame:

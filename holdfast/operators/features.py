@@ -74,7 +74,8 @@ def engineer(
     fitted = charge_thresholds(clean) if cuts is None else cuts
     if isinstance(fitted, DataFrame):
         packed = fitted.select(F.struct(*fitted.columns).alias("cuts")).scalar()
-        points: Sequence = [packed[c] for c in fitted.columns]
+        clean = clean.withColumn("_cuts", packed)
+        points: Sequence = [F.col("_cuts")[c] for c in fitted.columns]
     else:
         points = [float(c) for c in fitted]
     return clean.withColumns(
@@ -90,7 +91,7 @@ def engineer(
             "contract_risk_score": code_map(F.col("contract"), spec.CONTRACT_RISK),
             "support_score": yes_count(spec.SUPPORT_SERVICES),
         }
-    )
+    ).drop("_cuts")
 
 
 def online_features(clean: DataFrame, cuts: Sequence[float] = spec.LIVE_CHARGE_CUTS) -> DataFrame:

@@ -69,11 +69,17 @@ def weighted(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
             (F.count(label) / (2 * of_class(0))).alias("kept"), (F.count(label) / (2 * of_class(1))).alias("gone")
         )
     ).scalar()
-    return df.withColumn(WEIGHT, F.when(F.col(label) == 1, weights["gone"]).otherwise(weights["kept"]))
+    weight = F.when(F.col(label) == 1, F.col("_weights")["gone"]).otherwise(F.col("_weights")["kept"])
+    return df.withColumn("_weights", weights).withColumn(WEIGHT, weight).drop("_weights")
 
 
 def train(df: DataFrame, stages: Pipeline | None = None, label: str = spec.LABEL) -> PipelineModel:
+    """Fit on class-weighted rows. A table of fewer partitions than there are cores is spread
+    first, since every level of the trees passes over it."""
     rows = weighted(df.select(*spec.FEATURES, label), label)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)
     return (stages or pipeline(label=label)).fit(rows)
 
 
@@ -156,9 +162,10 @@ def levels(df: DataFrame, numeric=spec.NUMERIC_FEATURES, categorical=spec.CATEGO
 def scaled(df: DataFrame, fitted_on: DataFrame, columns=spec.NUMERIC_FEATURES, key: str = spec.KEY, digits: int = 6) -> DataFrame:
     """Numeric columns at mean 0 and population deviation 1 of the fitting rows."""
     moments = [F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c) for c in columns]
-    fit = fitted_on.agg(F.struct(*moments)).scalar()
+    fit = F.col("_fit")
     scale = lambda c: F.try_divide(F.col(c) - fit[c]["mean"], fit[c]["sd"])
-    return df.select(key, *[round_away(scale(c), digits).alias(c) for c in columns])
+    fitted = df.withColumn("_fit", fitted_on.agg(F.struct(*moments)).scalar())
+    return fitted.select(key, *[round_away(scale(c), digits).alias(c) for c in columns])
 
 
 def model_info(spark: SparkSession, model: PipelineModel | None, features=spec.FEATURES, version: str = spec.MODEL_VERSION) -> DataFrame:

@@ -1,13 +1,14 @@
-"""Seeded sampling and stratified splits that never sort the table.
+"""Seeded sampling and stratified splits that neither sort nor shuffle the table.
 
-Rows are ordered by the md5 of seed and key. The first hex digits of an md5 spread evenly,
-so they cut each class into equal buckets; counting the buckets tells the rank range of
-each one. Only buckets that a cut falls into are ranked row by row.
+Rows are ordered by the md5 of seed and key within their class. The first hex digits of an
+md5 spread evenly, so they cut each class into equal buckets, and counting the buckets shows
+which of them a cut falls into. Only the rows of those buckets are ranked, to find the row
+the cut ends at. The table itself is then compared with these few end rows, in a projection.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,32 +22,59 @@ def hash_order(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def _ranked_bins(
-    df: DataFrame, key: str, label: str, seed: int, out: str, bin_of: Callable[[Column, Column], Column]
-) -> DataFrame:
-    """Add ``bin_of(rank, class size)``, a function that does not fall as the rank grows."""
-    hashed = df.withColumn("_h", hash_order(key, seed)).withColumn(
-        "_b", F.conv(F.substring("_h", 1, _HEX), 16, 10).cast("int")
+def _place(key: str, seed: int) -> Column:
+    """Hash, then key: a total order of the rows as text."""
+    return F.concat(hash_order(key, seed), F.col(key).cast("string"))
+
+
+def _class(label: str) -> Column:
+    return F.coalesce(F.col(label).cast("string"), F.lit("none"))
+
+
+def _end_rows(df: DataFrame, key: str, label: str, seed: int, last_ranks: Sequence[Callable[[Column], Column]]) -> DataFrame:
+    """One row: a map from class to the place of the last row of each part but the final one."""
+    rows = df.select(_class(label).alias("c"), _place(key, seed).alias("p"))
+    bucket = F.substring("p", 1, _HEX)
+    buckets = (
+        rows.groupBy("c", bucket.alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(Window.partitionBy("c").orderBy("b")))
+        .withColumn("size", F.sum("n").over(Window.partitionBy("c")))
+    )
+    cuts = F.array(
+        *[F.struct(F.lit(i).alias("part"), f(F.col("size")).cast("bigint").alias("rank")) for i, f in enumerate(last_ranks)]
     )
-    in_class = Window.partitionBy("_label").orderBy("_bucket")
-    sizes = (
-        hashed.groupBy(F.col(label).alias("_label"), F.col("_b").alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(in_class))
-        .withColumn("_size", F.sum("_n").over(Window.partitionBy("_label")))
-        .withColumn("_first", bin_of(F.col("_upto") - F.col("_n") + 1, F.col("_size")))
-        .withColumn("_last", bin_of(F.col("_upto"), F.col("_size")))
-        .select("_label", "_bucket", "_size", (F.col("_upto") - F.col("_n")).alias("_before"), "_first", "_last")
+    before = F.col("upto") - F.col("n")
+    # As many rows as classes times cuts.
+    wanted = buckets.select("c", "b", before.alias("before"), "upto", F.inline(cuts)).filter(
+        (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("upto"))
     )
-    # At most 65,536 rows per class of a label with few values.
-    placed = hashed.join(
-        F.broadcast(sizes), F.col(label).eqNullSafe(F.col("_label")) & (F.col("_b") == F.col("_bucket"))
+    ranked = (
+        rows.withColumn("b", bucket)
+        .join(F.broadcast(wanted), ["c", "b"])
+        .withColumn("r", F.col("before") + F.row_number().over(Window.partitionBy("c", "b", "part").orderBy("p")))
+    )
+    ends = ranked.filter(F.col("r") == F.col("rank")).select("c", "part", "p")
+    # A cut before the first row has no end row: the empty text comes before every place.
+    missing = buckets.groupBy("c").agg(F.max("size").alias("size")).select("c", F.inline(cuts)).filter("rank <= 0")
+    ends = ends.unionByName(missing.select("c", "part", F.lit("").alias("p")))
+    of_class = ends.groupBy("c").agg(F.collect_list("p").alias("ends"))
+    return of_class.agg(F.map_from_entries(F.collect_list(F.struct("c", "ends"))).alias("ends"))
+
+
+def _with_part(
+    df: DataFrame, key: str, label: str, seed: int, last_ranks: Sequence[Callable[[Column], Column]], out: str,
+    numbered: Callable[[Column], Column] = lambda part: part, among: DataFrame | None = None,
+) -> DataFrame:
+    """Add the 0-based part of each row: how many end rows come before it."""
+    cut = df if among is None else among
+    ends, place = f"_{out}_ends", f"_{out}_place"
+    part = sum(((F.col(ends)[i] < F.col(place)).cast("int") for i in range(len(last_ranks))), F.lit(0))
+    return (
+        df.withColumns({ends: _end_rows(cut, key, label, seed, last_ranks).scalar()[_class(label)], place: _place(key, seed)})
+        .withColumn(out, numbered(part).cast("int"))
+        .drop(ends, place)
     )
-    whole = placed.filter("_first = _last").withColumn(out, F.col("_first"))
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_label", "_bucket").orderBy("_h", key))
-    cut = placed.filter("_first <> _last").withColumn(out, bin_of(rank, F.col("_size")))
-    columns = [*df.columns, out]
-    return whole.select(*columns).unionByName(cut.select(*columns))
 
 
 def split(
@@ -58,9 +86,8 @@ def split(
     out: str = "is_test",
 ) -> DataFrame:
     """Mark the same share of every class as test rows."""
-    return _ranked_bins(
-        df, key, label, seed, out, lambda rank, size: (rank <= F.floor(size * fraction + 0.5)).cast("int")
-    )
+    test_rows = lambda size: F.floor(size * fraction + 0.5)
+    return _with_part(df, key, label, seed, [test_rows], out, lambda part: 1 - part)
 
 
 def folds(
@@ -70,9 +97,14 @@ def folds(
     label: str = spec.LABEL,
     seed: int = spec.SEED + 1,
     out: str = "fold",
+    among: DataFrame | None = None,
 ) -> DataFrame:
-    """Deal every class into k folds whose sizes differ by one row at most."""
-    return _ranked_bins(df, key, label, seed, out, lambda rank, size: F.floor((rank - 1) * k / size).cast("int"))
+    """Deal every class into k folds whose sizes differ by one row at most.
+
+    With ``among``, a part of the frame, only its rows are counted when the folds are cut.
+    """
+    last = [lambda size, j=j: F.floor((size * j + (k - 1)) / k) for j in range(1, k)]
+    return _with_part(df, key, label, seed, last, out, among=among)
 
 
 def sample_ids(df: DataFrame, n: int = spec.SAMPLE_SIZE, key: str = spec.KEY, seed: int = spec.SEED) -> DataFrame:

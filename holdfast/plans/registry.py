@@ -81,12 +81,28 @@ def _train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratify.split(_labelled(spark, sf_dir)).filter("is_test = 0").drop("is_test")
 
 
+def _split_and_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = stratify.split(telco(spark, sf_dir))
+    dealt = stratify.folds(marked, among=marked.filter("is_test = 0"))
+    return dealt.withColumn("fold", F.when(F.col("is_test") == 0, F.col("fold")))
+
+
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engineered rows with their split mark and fold, written once: fitting and evaluation
+    read them many times."""
+    return written_table(spark, sf_dir, "split", lambda: _split_and_folds(spark, sf_dir))
+
+
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_table(spark, sf_dir).filter("is_test = 0")
+
+
 def _rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record of the rule score on the test rows, with its mean over the folds of the others."""
-    parts = stratify.split(_as_score(rule_scored(spark, sf_dir)))
-    dealt = stratify.folds(parts.filter("is_test = 0"))
-    cv = ev.roc_auc(dealt, by=["fold"]).agg(F.avg("roc_auc")).scalar()
-    return ev.metrics_record(parts.filter("is_test = 1"), cv_roc_auc=cv)
+    parts = scoring.rule_probability(split_table(spark, sf_dir))
+    scores = parts.select(spec.LABEL, "prediction", "is_test", "fold", F.col("probability").alias("score"))
+    cv = ev.roc_auc(scores.filter("is_test = 0"), by=["fold"]).agg(F.avg("roc_auc")).scalar()
+    return ev.metrics_record(scores.filter("is_test = 1"), cv_roc_auc=cv)
 
 
 def _explained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,13 +123,11 @@ def _waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stratify.split(telco(spark, sf_dir)).filter("is_test = 0")
-    return forest.levels(rows)
+    return forest.levels(_training(spark, sf_dir))
 
 
 def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = telco(spark, sf_dir)
-    return forest.scaled(df, stratify.split(df).filter("is_test = 0"))
+    return forest.scaled(telco(spark, sf_dir), _training(spark, sf_dir))
 
 
 def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,14 +173,9 @@ TREES, DEPTH = 20, 8
 _loaded: dict[str, tuple[PipelineModel, dict]] = {}
 
 
-def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Engineered rows with their split mark, written once: training reads them many times."""
-    return written_table(spark, sf_dir, "split", lambda: stratify.split(telco(spark, sf_dir)))
-
-
 def _forest_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
-        model = forest.train(split_table(spark, sf_dir).filter("is_test = 0"), forest.pipeline(TREES, DEPTH))
+        model = forest.train(_training(spark, sf_dir), forest.pipeline(TREES, DEPTH))
         cuts = feats.charge_thresholds(clean_table(spark, sf_dir)).first()
         save_model(spark, model, path, list(cuts))
 
@@ -189,9 +198,7 @@ def _train_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = split_table(spark, sf_dir).filter("is_test = 0").drop("is_test")
-    dealt = written_table(spark, sf_dir, "folds", lambda: stratify.folds(rows))
-    return forest.cv_summary(forest.cross_validate(dealt, forest.pipeline(TREES, DEPTH)))
+    return forest.cv_summary(forest.cross_validate(_training(spark, sf_dir), forest.pipeline(TREES, DEPTH)))
 
 
 def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +302,7 @@ QUERIES: dict[str, Query] = {
     "class_balance": _on(_labelled, ev.class_balance),
     "stratified_split": _on(_labelled, stratify.split),
     "cv_folds": _on(_train_rows, stratify.folds),
-    "class_weights": _on(_train_rows, ev.class_weights),
+    "class_weights": _on(_training, ev.class_weights),
     "scaled_features": _scaled,
     "one_hot_levels": _levels,
     "feature_labels": _on(_levels, attr.feature_labels),
