@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -74,13 +74,19 @@ def weighted(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
 
 
 def train(df: DataFrame, stages: Pipeline | None = None, label: str = spec.LABEL) -> PipelineModel:
-    """Fit on class-weighted rows. A table of fewer partitions than there are cores is spread
-    first, since every level of the trees passes over it."""
+    """Fit on class-weighted rows, which stay in memory or on local disk between the passes.
+
+    A table of fewer partitions than there are cores is spread first.
+    """
     rows = weighted(df.select(*spec.FEATURES, label), label)
     cores = df.sparkSession.sparkContext.defaultParallelism
     if rows.rdd.getNumPartitions() < cores:
         rows = rows.repartition(cores)
-    return (stages or pipeline(label=label)).fit(rows)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return (stages or pipeline(label=label)).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, probability: str = "probability") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,20 +25,39 @@ from holdfast.streaming.scoring import read_batches, score_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_plans: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _planned_once(build: Query) -> Query:
+    """Keep the plan of a frame that many queries start from; it holds no rows."""
+
+    @wraps(build)
+    def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, build.__name__, sf_dir)
+        if key not in _plans:
+            _plans[key] = build(spark, sf_dir)
+        return _plans[key]
+
+    return frame
+
+
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned table, joined and written once per application, then scanned."""
     return written_table(spark, sf_dir, "clean", lambda: cleaning.clean(subscribers(spark, sf_dir)))
 
 
+@_planned_once
 def telco(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned table with the engineered columns; these stay expressions over the scan."""
     return feats.engineer(clean_table(spark, sf_dir))
 
 
+@_planned_once
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.stg_customers(telco(spark, sf_dir))
 
 
+@_planned_once
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk.customer_risk(staged(spark, sf_dir))
 
@@ -65,6 +85,7 @@ def _segments(df: DataFrame) -> DataFrame:
 # Rule score, split and sample -------------------------------------------------------------
 
 
+@_planned_once
 def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.rule_probability(telco(spark, sf_dir))
 

@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", app: str = "holdfast") -> SparkSession
         .config("spark.sql.shuffle.partitions", parallelism)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
