@@ -324,6 +324,12 @@ SQL["segment_table"] = using(
     'avg_monthly_charges AS "Avg MRR $", total_segment_mrr AS "Segment MRR $", revenue_lost AS "Revenue Lost $", '
     'avg_services AS "Avg Services" FROM profile',
 )
+SQL["contract_table"] = using(
+    "telco",
+    f"""SELECT contract AS "Contract", count(*) AS "Customers", {_CHURNED} AS "Churned", {_PCT(1)} AS "Churn %",
+    {_AVG_CHARGE} AS "Avg Monthly $", round({_LOST}, 2) AS "Rev at Risk $", round(avg(tenure), 1) AS "Avg Tenure (mo)"
+    FROM telco GROUP BY contract""",
+)
 SQL["segment_directory"] = using(
     "profile",
     "SELECT place, d.customer_segment, CAST(coalesce(n, 0) AS BIGINT) AS customers, note FROM (VALUES "
@@ -681,6 +687,11 @@ SQL["driver_report_lines"] = using(
     "CASE direction WHEN 'increases' THEN '↑' ELSE '↓' END || ' ' || feature || ' (impact=' || "
     "regexp_replace(printf('%.4f', impact), '(\\.\\d+?)0+$', '\\1') || ')' FROM drivers",
 )
+SQL["driver_cards"] = using(
+    "drivers",
+    "SELECT place, substr(" + _TITLE("replace(feature, '_', ' ')") + ", 1, 20) AS card, printf('%.4f', impact) AS impact, "
+    "CASE direction WHEN 'increases' THEN '▲' ELSE '▼' END || ' ' || direction || ' churn' AS note FROM drivers WHERE place <= 5",
+)
 SQL["driver_bars"] = using(
     "contributed",
     "SELECT feature, " + _TITLE("feature") + " AS label, mean_abs, mean_abs > median(mean_abs) OVER () AS above_median FROM "

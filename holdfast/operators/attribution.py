@@ -86,6 +86,18 @@ def feature_labels(features: DataFrame) -> DataFrame:
     return features.select("feature", bar_label(F.col("feature")).alias("bar_label"), card_label(F.col("feature")).alias("card_label"))
 
 
+def driver_cards(drivers: DataFrame, k: int = 5) -> DataFrame:
+    """First drivers with a short label, the impact to four decimals and an arrow."""
+    arrow = F.when(F.col("direction") == "increases", "▲").otherwise("▼")
+    top = drivers.orderBy("place").limit(k)
+    return top.select(
+        "place",
+        card_label(F.col("feature")).alias("card"),
+        F.format_string("%.4f", "impact").alias("impact"),
+        F.concat(arrow, F.lit(" "), "direction", F.lit(" churn")).alias("note"),
+    )
+
+
 def driver_bars(long: DataFrame, k: int = 15) -> DataFrame:
     """Top features with their label and whether they lie above the median of those shown."""
     top = _impacts(long).select("feature", round_away("mean_abs", 6).alias("mean_abs")).orderBy(F.desc("mean_abs"), "feature").limit(k)

@@ -49,12 +49,16 @@ def _end_rows(df: DataFrame, key: str, label: str, seed: int, last_ranks: Sequen
     wanted = buckets.select("c", "b", before.alias("before"), "upto", F.inline(cuts)).filter(
         (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("upto"))
     )
-    ranked = (
+    # Copies of a key are counted before they are ordered and stay in one part.
+    counted = (
         rows.withColumn("b", bucket)
         .join(F.broadcast(wanted), ["c", "b"])
-        .withColumn("r", F.col("before") + F.row_number().over(Window.partitionBy("c", "b", "part").orderBy("p")))
+        .groupBy("c", "b", "part", "rank", "before", "p")
+        .agg(F.count(F.lit(1)).alias("m"))
     )
-    ends = ranked.filter(F.col("r") == F.col("rank")).select("c", "part", "p")
+    upto = F.col("before") + F.sum("m").over(Window.partitionBy("c", "b", "part").orderBy("p"))
+    ranked = counted.withColumn("upto", upto)
+    ends = ranked.filter("upto >= rank and upto - m < rank").select("c", "part", "p")
     # A cut before the first row has no end row: the empty text comes before every place.
     missing = buckets.groupBy("c").agg(F.max("size").alias("size")).select("c", F.inline(cuts)).filter("rank <= 0")
     ends = ends.unionByName(missing.select("c", "part", F.lit("").alias("p")))
@@ -113,5 +117,6 @@ def sample_ids(df: DataFrame, n: int = spec.SAMPLE_SIZE, key: str = spec.KEY, se
 
 
 def sample(df: DataFrame, n: int = spec.SAMPLE_SIZE, key: str = spec.KEY, seed: int = spec.SEED) -> DataFrame:
-    """Whole rows of the sampled keys."""
-    return df.join(sample_ids(df, n, key, seed), key, "left_semi")
+    """Whole rows of the sampled keys, n at most even where a key has copies."""
+    rows = df.join(sample_ids(df, n, key, seed), key, "left_semi")
+    return rows.orderBy(hash_order(key, seed), key).limit(n)

@@ -127,7 +127,8 @@ def _rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stratify.sample(telco(spark, sf_dir))
+    """Sampled rows, written once: the explanation reports read them several times."""
+    return written_table(spark, sf_dir, "sample", lambda: stratify.sample(telco(spark, sf_dir)))
 
 
 def _contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "revenue_by_segment": _on(telco, d.revenue_by_segment),
     "revenue_by_contract": _on(telco, d.revenue_by_contract),
     "lost_mrr_share": _on(telco, d.lost_mrr_share),
+    "contract_table": _on(telco, lambda df: d.display_table(rep.churn_by_contract(df), d.CONTRACT_HEADINGS)),
     "segment_table": _on(telco, lambda df: d.segment_table(rep.customer_segments(df))),
     "segment_directory": lambda spark, sf_dir: d.segment_directory(spark, rep.customer_segments(telco(spark, sf_dir))),
     # split, encoding and evaluation
@@ -345,9 +347,10 @@ QUERIES: dict[str, Query] = {
     "highest_score_row": _on(rule_scored, scoring.highest),
     "stream_rule_score": _stream_rule_score,
     # explanation
-    "explain_sample": _on(_explained, lambda df: df.select(spec.KEY, *spec.FEATURES)),
+    "explain_sample": _on(telco, lambda df: stratify.sample(df.select(spec.KEY, *spec.FEATURES))),
     "driver_ranking": _drivers,
     "driver_bars": _on(_contributions, attr.driver_bars),
+    "driver_cards": _on(_drivers, attr.driver_cards),
     "driver_report_lines": _on(_drivers, attr.report_lines),
     "waterfall_rows": _waterfall,
     "dependence_pairs": lambda spark, sf_dir: attr.dependence(_contributions(spark, sf_dir), _explained(spark, sf_dir)),

@@ -129,3 +129,13 @@ def test_sample_is_the_head_of_the_hash_order(spark):
     got = {r.customer_id for r in stratify.sample(df, 40).collect()}
     assert got == set(brute_order(keys, 42)[:40])
     assert stratify.sample(df, 1000).count() == 500
+
+
+def test_copies_of_a_key_stay_together_and_do_not_break_the_split(spark):
+    rows = [("hot", 0)] * 200 + [(f"C{i}", 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer_id string, churn_flag int")
+    parted = stratify.split(df)
+    assert parted.count() == 600
+    assert parted.filter("customer_id = 'hot'").select("is_test").distinct().count() == 1
+    assert 120 <= parted.filter("is_test = 1").count() < 320
+    assert stratify.sample(df, 50).count() == 50
