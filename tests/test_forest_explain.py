@@ -23,26 +23,27 @@ def small(spark, sf_dir, telco):
     return model, path, treeshap.forest_leaves(spark, f"{path}/pipeline")
 
 
-def expected_output(leaves, x, known):
+def expected_output(tree, x, known):
     """Path-dependent expectation of one tree when only the features in ``known`` are given."""
     total = 0.0
-    for row in range(len(leaves.value)):
-        p = leaves.value[row]
-        for f, low, high, z in zip(leaves.feature[row], leaves.low[row], leaves.high[row], leaves.share[row], strict=True):
-            p *= float(low < x[f] <= high) if f in known and not (low == -np.inf and high == np.inf) else z
-        total += p
+    for leaves in tree:
+        for row in range(len(leaves.value)):
+            p = leaves.value[row]
+            for f, low, high, z in zip(leaves.feature[row], leaves.low[row], leaves.high[row], leaves.share[row], strict=True):
+                p *= float(low < x[f] <= high) if f in known else z
+            total += p
     return total
 
 
-def brute_shapley(leaves, x):
-    used = sorted({int(f) for f, low, high in zip(leaves.feature.ravel(), leaves.low.ravel(), leaves.high.ravel()) if low > -np.inf or high < np.inf})
+def brute_shapley(tree, x):
+    used = sorted({int(f) for leaves in tree for f in leaves.feature.ravel()})
     phi = np.zeros(len(x))
     for f in used:
         others = [g for g in used if g != f]
         for size in range(len(others) + 1):
             w = factorial(size) * factorial(len(used) - size - 1) / factorial(len(used))
             for s in combinations(others, size):
-                phi[f] += w * (expected_output(leaves, x, {*s, f}) - expected_output(leaves, x, set(s)))
+                phi[f] += w * (expected_output(tree, x, {*s, f}) - expected_output(tree, x, set(s)))
     return phi
 
 
