@@ -1,8 +1,8 @@
 from holdfast.functions.numeric import cents, dollars, fraction, round_away
 from holdfast.functions.rules import band, code_map, first_match, yes_count
-from holdfast.functions.text import percent_text, signed_text, snake_case, title_words
+from holdfast.functions.text import signed_text, snake_case, title_words
 
 __all__ = [
     "band", "cents", "code_map", "dollars", "first_match", "fraction",
-    "percent_text", "round_away", "signed_text", "snake_case", "title_words", "yes_count",
+    "round_away", "signed_text", "snake_case", "title_words", "yes_count",
 ]

@@ -23,6 +23,3 @@ def title_words(c: Column) -> Column:
 def signed_text(c: Column, digits: int = 1, unit: str = "%") -> Column:
     return F.format_string(f"%+.{digits}f{unit.replace('%', '%%')}", c)
 
-
-def percent_text(c: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", c)

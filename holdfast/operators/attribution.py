@@ -158,12 +158,17 @@ def dependence_by_value(long: DataFrame, feature: str = "tenure") -> DataFrame:
     )
 
 
-def distribution(long: DataFrame, k: int = 20, probabilities: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
-    """Quantiles of value and contribution for the k features of largest mean impact."""
+def distribution(
+    long: DataFrame, k: int = 20, probabilities: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0), accuracy: int | None = None
+) -> DataFrame:
+    """Quantiles of value and contribution for the k features of largest mean impact.
+
+    Exact on a sample; give ``accuracy`` for contributions of a whole table, which hardly repeat.
+    """
     names = [f"p{round(p * 100)}" for p in probabilities]
     top = _impacts(long).orderBy(F.desc("mean_abs"), "feature").limit(k)
     rows = long.join(top, "feature", "left_semi")
-    spread = lambda c: value_quantiles(rows, c, probabilities, by=["feature"]).select(
+    spread = lambda c: value_quantiles(rows, c, probabilities, by=["feature"], accuracy=accuracy).select(
         "feature", *[round_away(F.col("quantiles")[i], 6).alias(f"{c}_{n}") for i, n in enumerate(names)]
     )
     return spread("value").join(spread("contribution"), "feature")

@@ -181,3 +181,11 @@ def test_impact_text(spark):
 def test_dependence_by_value(spark):
     rows = {r.value: r.n for r in attr.dependence_by_value(long_rows(spark), "z").collect()}
     assert rows == {0.0: 2}
+
+
+def test_distribution_exact_and_sketched(spark):
+    exact = {r.feature: r for r in attr.distribution(long_rows(spark)).collect()}
+    assert exact["x"].value_p50 == 1.5 and exact["x"].contribution_p0 == -0.1 and exact["x"].contribution_p100 == 0.3
+    close = {r.feature: r for r in attr.distribution(long_rows(spark), accuracy=1000).collect()}
+    assert close["x"].contribution_p100 == 0.3 and set(close) == {"x", "y", "z"}
+    assert attr.distribution(long_rows(spark), k=1).count() == 1

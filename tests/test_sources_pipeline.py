@@ -63,6 +63,30 @@ def test_shared_folder_is_the_configured_one(spark):
     assert new_path(spark, "a") != new_path(spark, "a")
 
 
+def test_without_a_shared_folder_plans_stay_lazy(spark, monkeypatch):
+    from holdfast import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: None)
+    df = spark.range(3)
+    assert session.written_table(spark, "nowhere", "t", lambda: df) is df
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.new_path(spark, "t")
+
+
+def test_tables_are_written_once_and_read_back(spark):
+    from holdfast import session
+
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(4).withColumn("d", F.lit(None).cast("double"))
+
+    first = session.written_table(spark, "scope", "once", build)
+    second = session.written_table(spark, "scope", "once", build)
+    assert len(built) == 1 and first.count() == second.count() == 4 and first.schema["d"].dataType.simpleString() == "double"
+
+
 def test_whole_run(spark, sf_dir, tmp_path):
     run = pipeline.Run(str(tmp_path / "run"), stages=forest.pipeline(4, 5), sample_size=200)
     metrics = pipeline.run_all(run, subscribers(spark, sf_dir), with_cv=False).first()
