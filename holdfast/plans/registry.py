@@ -198,14 +198,15 @@ _loaded: dict[str, tuple[PipelineModel, dict]] = {}
 def _forest_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         model = forest.train(_training(spark, sf_dir), forest.pipeline(TREES, DEPTH))
-        cuts = feats.charge_thresholds(clean_table(spark, sf_dir)).first()
-        save_model(spark, model, path, list(cuts))
+        cuts = [float(c) for c in feats.charge_thresholds(clean_table(spark, sf_dir)).first()]
+        save_model(spark, model, path, cuts)
+        _loaded[path] = (model, {"charge_cuts": cuts})
 
     return written_once(spark, sf_dir, "forest", write)
 
 
 def fitted_forest(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, dict]:
-    """Saved forest and its feature record; trained on first use, then loaded."""
+    """Forest and its feature record; trained and saved on first use."""
     path = _forest_path(spark, sf_dir)
     if path not in _loaded:
         _loaded[path] = load_model(spark, path)
