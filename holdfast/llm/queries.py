@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import bpe, contamination, langid, pieces, sharding, simhash, substring, token_files, toxicity
+from holdfast.llm import bpe, contamination, langid, pieces, quality, sharding, simhash, substring, token_files, toxicity
 from holdfast.llm.tables import read
 from holdfast.session import new_path
 
@@ -34,6 +34,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
