@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -111,7 +111,7 @@ def _search(docs: list[bytes], wanted: Phrases, window: int, slop: int) -> tuple
     near: list[set[str]] = [set() for _ in docs]
     for length, windows in wanted.by_length.items():
         owners = wanted.owners[length]
-        for reach, into in ((0, exact), (slop, near)):
+        for reach, into in ((0, exact), (slop, near)) if slop else ((0, exact),):
             which, starts = segment.matches(windows, reach)
             if not reach:
                 np.add.at(change, starts, 1)
@@ -140,19 +140,20 @@ def _item_blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[str, bytes
 
 
 def search(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, item_bytes: int = ITEM_BYTES
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, item_bytes: int = ITEM_BYTES,
+    key: Column | None = None,
 ) -> DataFrame:
     """Every row with its word count, the marks of its words hit (``hits``, a bit each, null
     without any), their number, the items matched exactly (``item_ids``) and those whose terms
-    all stand within ``slop`` words of their place (``near_ids``).
+    all stand within ``slop`` words of their place (``near_ids``; empty for a slop of 0).
 
     Each segment of documents has its own postings of the query terms (memory bounded by the
-    segment), so nothing is shuffled and a phrase found in most documents skews no task. Items
-    come in blocks of bounded size, one pass for each. Null or empty texts and items have no
+    segment), so nothing is shuffled and a phrase found in most documents skews no task.
+    ``key`` is carried as doc_id. Items come in blocks of bounded size, one pass for each. Null or empty texts and items have no
     words. Items that share an id are one item. Repeated rows stay; empty tables give no rows
     or no hits.
     """
-    found = texts(docs).selectExpr(
+    found = texts(docs, key).selectExpr(
         "doc_id", "text", "0L AS n_words", "0L AS n_hit", "CAST(NULL AS BINARY) AS hits",
         "CAST(array() AS array<string>) AS item_ids", "CAST(array() AS array<string>) AS near_ids",
     )
@@ -202,11 +203,11 @@ def _pass(wanted: Phrases, window: int, slop: int, keep_text: bool):
 
 
 def contamination(docs: DataFrame, items: DataFrame, share: int = 20, **settings) -> DataFrame:
-    """Counts and verdict of every row: contaminated from one hit word in ``share`` on."""
-    return search(docs, items, **settings).select(
+    """Counts and verdict of every row by exact matches: contaminated from one hit word in
+    ``share`` on."""
+    return search(docs, items, slop=0, **settings).select(
         "doc_id", "n_words", "n_hit",
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
-        F.size("near_ids").cast("long").alias("n_near_items"),
     )

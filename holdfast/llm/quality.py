@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.llm.tables import texts
+
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 #: Digits are no class: numbers follow what a text is about, not its language.
@@ -75,10 +77,9 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2))
 
 
-def _counts(docs: DataFrame) -> DataFrame:
+def _counts(docs: DataFrame, key: Column | None = None) -> DataFrame:
     """doc_id with the counts the rules use."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"))
+    d = texts(docs, key).select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     d = d.select("doc_id", "t", word_list(F.col("t")).alias("w"), F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     # what is left of the text after each class is taken out of it
     left = {"spaceless": F.regexp_replace("t", SPACE, "")}
@@ -182,29 +183,30 @@ def judge(
     max_word_distance: float = MAX_WORD_DISTANCE,
     min_class_chars: int = MIN_CLASS_CHARS,
     min_histogram_words: int = MIN_HISTOGRAM_WORDS,
+    key: Column | None = None,
 ) -> DataFrame:
     """Counts, distances and verdict of every row.
 
     A row fails the base rules with fewer than MIN_WORDS words, or if over half of them stand
     in repeated three-word windows. Otherwise it is kept unless its histogram of character
     classes or of common words is further than the limit from that of its nearest language,
-    each judged only in texts long enough for it. Null text:
-    no words, so it fails. Null doc_id and repeated rows stay as they are. Empty table: no rows.
+    each judged only in texts long enough for it. ``key`` is carried as doc_id. Null text: no
+    words, so it fails. Null doc_id and repeated rows stay as they are. Empty table: no rows.
     """
-    d = _histograms(_counts(docs), words)
-    shares = _class_shares()
-    d = d.withColumn("class_shares", shares)
+    d = _histograms(_counts(docs, key), words).withColumn("class_shares", _class_shares())
     near = lambda values: F.least(*values) if len(values) > 1 else values[0] if values else F.lit(0.0)
     literal = lambda xs: F.array(*(F.lit(float(x)) for x in xs))
     d = d.withColumn("class_distance", near([js_distance(F.col("class_shares"), literal(p.classes)) for p in profiles.values()]))
     d = d.withColumn(
         "word_distance", near([js_distance(_language_shares(words, name), literal(p.words)) for name, p in profiles.items()])
     )
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    # one element: a later filter would otherwise be pushed below, with every expression above written out in it
+    d = d.select("doc_id", F.inline(F.array(F.struct(*counts, "class_distance", "word_distance"))))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     far = ((F.col("word_chars") >= min_class_chars) & (F.col("class_distance") > max_class_distance)) | (
         (F.col("n_words") >= min_histogram_words) & (F.col("word_distance") > max_word_distance)
     )
-    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return d.select(
         "doc_id", *(F.col(c).cast("long").alias(c) for c in counts), failed.alias("base_failed"),
         (~failed & ~far).alias("kept"), "class_distance", "word_distance",

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from holdfast.llm import bpe, contamination, langid, pieces, quality, sharding, simhash, substring, token_files, toxicity
+from holdfast.llm.sql import SQL
 from holdfast.llm.tables import read
 from holdfast.session import new_path
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate(read(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), F.size("intervals").alias("n_intervals")
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
@@ -35,7 +37,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(read(spark, sf_dir, "documents"))
+    return quality.judge(read(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,4 +57,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for name, f in list(globals().items()) if name.startswith("op")}
-SQL: dict[str, str] = {}
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

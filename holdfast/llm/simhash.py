@@ -32,14 +32,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every row; null text has no words."""
+    """doc_id, fingerprint (as a signed long) and text hash of every row; null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t, shingle, seed) for t in utf8(batch.column(1))]
-            yield pa.record_batch([batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "print"])
+            yield pa.record_batch([batch.column(0), pa.array(prints, pa.int64()), batch.column(2)], names=["doc_id", "print", "th"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, print long")
+    return texts(docs).withColumn("th", F.xxhash64("text")).mapInArrow(run, "doc_id long, print long, th long")
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
@@ -101,6 +101,15 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", F.col("v")).distinct())
 
 
+def _grouped(docs: DataFrame, shingle: int, distance: int, blocks: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and of each distinct one (``print``) its first doc_id and root."""
+    marked = written(fingerprints(docs, shingle, seed), "prints")
+    nodes = marked.groupBy("print").agg(F.min("doc_id").alias("first_id"))
+    tree = components(links(nodes.select("print"), distance, blocks))
+    roots = nodes.join(tree, F.col("print") == F.col("node"), "left")
+    return marked, roots.select(F.col("print").alias("p"), "first_id", F.coalesce("root", "print").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS, seed: int = SEED
 ) -> DataFrame:
@@ -110,14 +119,24 @@ def near_duplicates(
     (null, empty, blank) share the fingerprint zero. Null doc_id: it takes part, but never
     names a component while another id does. Repeated rows stay. Empty table: no rows.
     """
-    marked = written(fingerprints(docs, shingle, seed), "prints")
-    nodes = marked.groupBy("print").agg(F.min("doc_id").alias("first_id"))
-    tree = components(links(nodes.select("print"), distance, blocks))
-    roots = nodes.join(tree, F.col("print") == F.col("node"), "left").select(
-        "print", "first_id", F.coalesce("root", "print").alias("root")
-    )
+    marked, roots = _grouped(docs, shingle, distance, blocks, seed)
     names = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = roots.join(names, "root").select(F.col("print").alias("p"), "component_id")
+    named = roots.join(names, "root").select("p", "component_id")
     return marked.join(named, F.col("print") == F.col("p")).select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def distinct(
+    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS, seed: int = SEED
+) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest doc_id (a null one
+    last), of the smallest text hash among rows that share it, and one of equal rows."""
+    marked, roots = _grouped(docs, shingle, distance, blocks, seed)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("th").alias("hash"))
+    first = marked.join(roots, F.col("print") == F.col("p")).groupBy("root").agg(F.min(order).alias("o")).select("o.id", "o.hash")
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64(F.col("text").cast("string")).alias("th")
+    )
+    kept = rows.join(first, F.col("key").eqNullSafe(F.col("id")) & (F.col("th") == F.col("hash")), "left_semi")
+    return kept.dropDuplicates(["key", "th"]).select("row.*")

@@ -256,3 +256,19 @@ def _kept(text: bytes, runs: list[dict] | None, window: int) -> tuple[int, int,
     edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
     kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
     return len(words), int(gone.sum()), edges.reshape(-1, 2).tolist(), kept.decode()
+
+
+def cut(docs: DataFrame, window: int = WINDOW, **settings) -> DataFrame:
+    """Every row with all its columns; a text with repeated windows becomes its kept words,
+    joined by a blank, and others stay as they are. The cases are those of ``deduplicate``."""
+
+    @F.udf("string", useArrow=True)
+    def kept(text, runs):
+        return _kept(text.encode(), runs, window)[3] if runs else text
+
+    found = removals(docs, window, **settings).select(F.col("doc_id").alias("id"), F.col("th").alias("hash"), "runs")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), text.alias("whole"), F.xxhash64(text).alias("th"))
+    joined = rows.join(found, (F.col("key") == F.col("id")) & (F.col("th") == F.col("hash")), "left")
+    now = F.when(F.col("runs").isNull(), F.col("whole")).otherwise(kept("whole", "runs"))
+    return joined.select(F.col("row").withField("text", now).alias("row")).select("row.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.session import new_path
@@ -12,9 +12,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Key and text alone, so columns of other names never meet those of an operator."""
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def texts(docs: DataFrame, key: Column | None = None) -> DataFrame:
+    """Key and text alone, so columns of other names never meet those of an operator.
+
+    The key is doc_id, or whatever an operator shall carry along, such as the whole row
+    (``struct("*")``).
+    """
+    key = F.col("doc_id").cast("long") if key is None else key
+    return docs.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
