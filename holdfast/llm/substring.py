@@ -206,7 +206,7 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_word
     known = texts(docs).filter("doc_id IS NOT NULL AND text IS NOT NULL")
     shared = written(_shared(_pairs(known, window, gram), wide), "shared-selectors")
     segments = written(_segments(_packed(known), shared, window, gram), "segments")
-    repeats = _repeats(segments, window, shard_words).select(F.col("m").alias("rm"), F.col("k").alias("rk"), "d0", "bits")
+    repeats = written(_repeats(segments, window, shard_words), "repeats").select(F.col("m").alias("rm"), F.col("k").alias("rk"), "d0", "bits")
     found = segments.select("doc_id", "th", "start", "n", "m", F.xxhash64("seg").alias("k")).join(
         repeats, (F.col("m") == F.col("rm")) & (F.col("k") == F.col("rk")) & ((F.col("doc_id") > F.col("d0")) | F.col("bits").isNotNull())
     )

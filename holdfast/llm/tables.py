@@ -22,9 +22,20 @@ def texts(docs: DataFrame, key: Column | None = None) -> DataFrame:
     return docs.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+#: Spark's setting to delete a query's shuffle files when it ends.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read back: lineage ends here, and a lost
-    executor costs the tasks it ran, not the steps before."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executor costs the tasks it ran, not the steps before. The table takes the place of the
+    shuffle files that led to it, so these go at once."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
