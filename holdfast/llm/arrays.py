@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {}
@@ -43,6 +43,14 @@ def blocks(rows: list, size=len, limit: int = BLOCK_BYTES) -> Iterator[tuple[int
         yield begin, len(rows)
 
 
+def text_blocks(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of rows of about BLOCK_BYTES together, with their texts as UTF-8; only one range
+    is held as Python objects at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for lo, hi in blocks(sizes, size=lambda n: n):
+        yield lo, hi, utf8(column.slice(lo, hi - lo))
+
+
 @dataclass
 class Words:
     """Words of several texts. ``first[d]:first[d + 1]`` are those of text ``d``."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -15,14 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from holdfast.llm.arrays import blocks, mix, ragged, span_hashes, sums_by, utf8
+from holdfast.llm.arrays import blocks, mix, ragged, span_hashes, sums_by, text_blocks
 from holdfast.llm.tables import texts
 
+#: A task is one thread: Spark runs as many as there are cores.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Distinct pre-tokens a task remembers; at twice as many slots, more are encoded again.
 SLOTS = 1 << 20
 #: Most ids, and most pre-tokens, a task remembers before it starts afresh.
-MEMORY_IDS, MEMORY_ENTRIES = 1 << 23, 1 << 22
+MEMORY_IDS, MEMORY_ENTRIES = 1 << 22, 1 << 20
 
 
 @lru_cache(1)
@@ -241,9 +245,8 @@ def decoder(source: str) -> Decoder:
 def encoded_blocks(batches: Iterator[pa.RecordBatch], source: str):
     """(keys, ids, ranges) for blocks of rows of (key, text)."""
     for batch in batches:
-        data = utf8(batch.column(1))
-        for lo, hi in blocks(data):
-            ids, ranges = encoder(source).encode([t.decode() for t in data[lo:hi]])
+        for lo, hi, data in text_blocks(batch.column(1)):
+            ids, ranges = encoder(source).encode([t.decode() for t in data])
             yield batch.column(0).slice(lo, hi - lo), ids, ranges
 
 
@@ -262,21 +265,24 @@ def encode(docs: DataFrame, source: str) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, ids binary")
 
 
+def _decoded(ids: np.ndarray, source: str) -> tuple[bytes, np.ndarray, int]:
+    """Bytes, offsets and how many ids begin inside a character."""
+    data, offsets = decoder(source).decode(ids)
+    inside = np.frombuffer(data, np.uint8)[offsets] & 0xC0 == 0x80 if data else np.zeros(0)
+    return data, offsets, int(inside.sum())
+
+
 def decode(encoded: DataFrame, source: str) -> DataFrame:
     """Bytes of every row's ids, the byte offset of each id (little-endian, 64 bits) and the
     number of ids that begin inside a character. Null ids give no bytes."""
     spread = encoded.sparkSession.sparkContext.broadcast(source)
 
-    def one(ids: bytes | None) -> tuple[bytes, bytes, int]:
-        data, offsets = decoder(spread.value).decode(np.frombuffer(ids or b"", "<u4"))
-        inside = np.frombuffer(data, np.uint8)[offsets] & 0xC0 == 0x80 if data else np.zeros(0)
-        return data, offsets.astype("<i8").tobytes(), int(inside.sum())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1).to_pylist()
             for lo, hi in blocks(ids, size=lambda x: len(x or b"")):
-                data, offsets, inside = zip(*map(one, ids[lo:hi]))
+                data, offsets, inside = zip(*(_decoded(np.frombuffer(x or b"", "<u4"), spread.value) for x in ids[lo:hi]))
+                offsets = [x.astype("<i8").tobytes() for x in offsets]
                 made = [pa.array(data, pa.binary()), pa.array(offsets, pa.binary()), pa.array(inside, pa.int64())]
                 kept = batch.slice(lo, hi - lo)
                 yield pa.record_batch([kept.column(0), kept.column(1), *made], names=["doc_id", "ids", "decoded", "offsets", "n_split"])
@@ -287,8 +293,18 @@ def decode(encoded: DataFrame, source: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, source: str) -> DataFrame:
-    """Digests of the ids of every row and of the bytes they decode to."""
-    return decode(encode(docs, source), source).select(
+    """Digests of the ids of every row and of the bytes they decode to; both are made in one
+    pass of a task, with the cases of ``encode``."""
+    spread = docs.sparkSession.sparkContext.broadcast(source)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, ids, ranges in encoded_blocks(batches, spread.value):
+            each = [ids[a:b] for a, b in zip(ranges, ranges[1:])]
+            data, _, inside = zip(*(_decoded(x, spread.value) for x in each))
+            made = [pa.array([x.astype("<u4").tobytes() for x in each], pa.binary()), pa.array(data, pa.binary()), pa.array(inside, pa.int64())]
+            yield pa.record_batch([keys, *made], names=["doc_id", "ids", "decoded", "n_split"])
+
+    return texts(docs).mapInArrow(run, "doc_id long, ids binary, decoded binary, n_split long").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

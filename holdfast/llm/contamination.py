@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from holdfast.llm.arrays import ALNUM, blocks, ragged, split, utf8, word_hashes
+from holdfast.llm.arrays import ALNUM, ragged, split, text_blocks, word_hashes
 from holdfast.llm.tables import texts, written
 
 WINDOW = 13
@@ -179,10 +179,9 @@ def _pass(wanted: Phrases, window: int, slop: int, keep_text: bool):
     names = ["n_words", "n_hit", "hits", "item_ids", "near_ids"]
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        data = utf8(batch.column(1))
         before = batch.select(["hits", "item_ids", "near_ids"]).to_pydict()
-        for lo, hi in blocks(data):
-            marks, exact, near, first = _search(data[lo:hi], wanted, window, slop)
+        for lo, hi, data in text_blocks(batch.column(1)):
+            marks, exact, near, first = _search(data, wanted, window, slop)
             for i in range(hi - lo):
                 own = marks[first[i] : first[i + 1]]
                 if earlier := before["hits"][lo + i]:

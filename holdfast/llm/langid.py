@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.arrays import blocks, sums_by, utf8
+from holdfast.llm.arrays import sums_by, text_blocks
 from holdfast.llm.bpe import LETTER, _classes, code_points
 from holdfast.llm.tables import texts
 
@@ -100,10 +100,9 @@ def fit(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS) -> Mo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = np.array(batch.column(1).to_pylist(), object)
-            data = utf8(batch.column(2))
-            for lo, hi in blocks(data):
+            for lo, hi, data in text_blocks(batch.column(2)):
                 known, own = np.unique(names[lo:hi].astype(str), return_inverse=True)
-                buckets, first = grams([t.decode() for t in data[lo:hi]])
+                buckets, first = grams([t.decode() for t in data])
                 row = np.repeat(own, np.diff(first)) * (len(ORDERS) * size)
                 cells = np.concatenate([(row + k * size + b)[b < size] for k, b in enumerate(buckets)])
                 cell, n = np.unique(cells, return_counts=True)
@@ -138,9 +137,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = spread.value
         for batch in batches:
-            data = utf8(batch.column(1))
-            for lo, hi in blocks(data):
-                docs = [t.decode() for t in data[lo:hi]]
+            for lo, hi, data in text_blocks(batch.column(1)):
+                docs = [t.decode() for t in data]
                 points, first = code_points(docs)
                 judged = sums_by(first, _classes()[points] == LETTER) > 0
                 names, scores = np.full(hi - lo, UNKNOWN, object), np.zeros(hi - lo)

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from sentencepiece import SentencePieceProcessor
 
-from holdfast.llm.arrays import blocks, sums_by, utf8
+from holdfast.llm.arrays import sums_by, text_blocks
 from holdfast.llm.bpe import Memory, code_points
 from holdfast.llm.tables import texts
 
@@ -186,10 +186,9 @@ def count(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = utf8(batch.column(1))
-            for lo, hi in blocks(data):
-                n = counter(path).counts([t.decode() for t in data[lo:hi]])
-                made = [pa.array([len(t) for t in data[lo:hi]], pa.int64()), pa.array(n, pa.int64()), pa.array(n > limit)]
+            for lo, hi, data in text_blocks(batch.column(1)):
+                n = counter(path).counts([t.decode() for t in data])
+                made = [pa.array([len(t) for t in data], pa.int64()), pa.array(n, pa.int64()), pa.array(n > limit)]
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), *made], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return texts(docs).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.arrays import NOT_SPACE, blocks, ragged, span_hashes, split, utf8, word_hashes
+from holdfast.llm.arrays import NOT_SPACE, blocks, ragged, span_hashes, split, text_blocks, utf8, word_hashes
 from holdfast.llm.fm_index import FMIndex
 from holdfast.llm.tables import texts, written
 
@@ -53,9 +53,9 @@ def _pairs(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, data = batch.column(0).to_numpy(), utf8(batch.column(1))
-            for lo, hi in blocks(data):
-                _, _, chosen, who, inside = _windows(data[lo:hi], window, gram)
+            ids = batch.column(0).to_numpy()
+            for lo, hi, data in text_blocks(batch.column(1)):
+                _, _, chosen, who, inside = _windows(data, window, gram)
                 chosen, who = chosen[inside], who[inside]
                 new = np.ones(len(chosen), bool)
                 new[1:] = (chosen[1:] != chosen[:-1]) | (who[1:] != who[:-1])
@@ -121,9 +121,12 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, "doc_id long, th long, data binary")
 
 
-def _unpack(column: pa.Array) -> list[bytes]:
+def _unpacked(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of rows of about a block together, with their texts."""
     press = zstandard.ZstdDecompressor()
-    return [press.decompress(x) for x in column.to_pylist()]
+    sizes = [zstandard.frame_content_size(x) for x in column.to_pylist()]
+    for lo, hi in blocks(sizes, size=lambda n: n):
+        yield lo, hi, [press.decompress(x) for x in column.slice(lo, hi - lo).to_pylist()]
 
 
 def _segments(packed: DataFrame, shared: DataFrame, window: int, gram: int) -> DataFrame:
@@ -136,10 +139,9 @@ def _segments(packed: DataFrame, shared: DataFrame, window: int, gram: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = _unpack(batch.column(2))
-            for lo, hi in blocks(data):
+            for lo, hi, data in _unpacked(batch.column(2)):
                 part = batch.slice(lo, hi - lo)
-                words, hashes, chosen, who, inside = _windows(data[lo:hi], window, gram)
+                words, hashes, chosen, who, inside = _windows(data, window, gram)
                 # a selector is shared whoever lists it, so one set serves the block
                 narrow, wide = (np.unique(part.column(c).flatten().to_numpy()) for c in (3, 4))
                 alone = np.flatnonzero(inside & np.isin(chosen, wide))
@@ -228,9 +230,8 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, **settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(2).to_pylist()
-            data = _unpack(batch.column(1))
-            for lo, hi in blocks(data):
-                out = [_kept(t, r, window) for t, r in zip(data[lo:hi], rows[lo:hi])]
+            for lo, hi, data in _unpacked(batch.column(1)):
+                out = [_kept(t, r, window) for t, r in zip(data, rows[lo:hi])]
                 kinds = (pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.string())
                 made = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)]
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), *made], names=["doc_id", "n_words", "n_removed", "intervals", "kept"])

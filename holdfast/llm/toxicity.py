@@ -12,7 +12,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.arrays import LOWER, blocks, split, sums_by, utf8, word_hashes
+from holdfast.llm.arrays import LOWER, split, sums_by, text_blocks, word_hashes
 from holdfast.llm.langid import fold_of
 from holdfast.llm.tables import texts, written
 
@@ -91,9 +91,8 @@ def featurise(docs: DataFrame, insults: Sequence[str] = INSULTS, second: Sequenc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = utf8(batch.column(1))
-            for lo, hi in blocks(data):
-                x = features(data[lo:hi], insults, second)
+            for lo, hi, data in text_blocks(batch.column(1)):
+                x = features(data, insults, second)
                 rows = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), rows], names=["doc_id", "x"])
 
