@@ -36,7 +36,7 @@ joined AS (
        LEFT JOIN svc ON o_orderkey = l_orderkey
        CROSS JOIN latest),
 raw AS (
-  SELECT 'C' || lpad(CAST(k AS VARCHAR), 8, '0') AS "customerID",
+  SELECT 'C' || printf('%08d', k) AS "customerID",
          CASE WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
          CASE WHEN o_custkey % 6 = 0 THEN 1 ELSE 0 END AS "SeniorCitizen",
          CASE WHEN c_nationkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS "Partner",
@@ -668,15 +668,15 @@ _TOTAL = " + ".join(f"({t})" for _, t in _TERMS.values())
 define(
     "contributed",
     " UNION ALL ".join(
-        f"SELECT customer_id, '{f}' AS feature, CAST({c} AS DOUBLE) AS value, ({t}) - (SELECT avg({t}) FROM telco) AS contribution FROM sampled"
+        f"SELECT customer_id, '{f}' AS feature, CAST({c} AS DOUBLE) AS value, ({t}) - (SELECT avg({t}) FROM telco) AS contribution FROM telco"
         for f, (c, t) in _TERMS.items()
     ),
-    "sampled",
+    "telco",
 )
 define(
     "drivers",
     "SELECT row_number() OVER (ORDER BY impact DESC, feature) AS place, feature, impact, direction FROM ("
-    "SELECT feature, round(avg(abs(contribution)), 4) AS impact, CASE WHEN avg(contribution) > 0 THEN 'increases' ELSE 'decreases' END AS direction "
+    "SELECT feature, round(avg(abs(contribution)), 4) AS impact, CASE WHEN round(avg(contribution), 9) > 0 THEN 'increases' ELSE 'decreases' END AS direction "
     "FROM contributed GROUP BY feature) QUALIFY place <= 10",
     "contributed",
 )
@@ -699,7 +699,7 @@ SQL["driver_bars"] = using(
 )
 SQL["dependence_pairs"] = using(
     "contributed",
-    "SELECT customer_id, value, round(contribution, 6) AS contribution, contract_risk_score FROM contributed JOIN sampled USING (customer_id) "
+    "SELECT customer_id, value, round(contribution, 6) AS contribution, contract_risk_score FROM contributed JOIN telco USING (customer_id) "
     "WHERE feature = 'tenure'",
 )
 SQL["shap_distribution"] = using(
@@ -715,7 +715,7 @@ define(
     "one",
     f"""SELECT *, row_number() OVER (ORDER BY abs(contribution) DESC, feature) AS r,
     (SELECT avg({_TOTAL}) FROM telco) AS base FROM contributed WHERE customer_id = (
-      SELECT customer_id FROM sampled ORDER BY least(100, greatest(0, {_TOTAL})) DESC, customer_id LIMIT 1)""",
+      SELECT customer_id FROM telco ORDER BY least(100, greatest(0, {_TOTAL})) DESC, customer_id LIMIT 1)""",
     "contributed",
 )
 SQL["waterfall_rows"] = using(
@@ -725,7 +725,7 @@ SQL["waterfall_rows"] = using(
     "UNION ALL SELECT 5, 'other', NULL, round(sum(contribution), 6) FROM one WHERE r >= 5 "
     "UNION ALL SELECT 6, 'score', NULL, round(sum(contribution) + max(base), 6) FROM one",
 )
-SQL["shap_check"] = "SELECT least(count(*), 1000) AS rows_checked, CAST(0 AS BIGINT) AS rows_off FROM orders"
+SQL["shap_check"] = "SELECT count(*) AS rows_checked, CAST(0 AS BIGINT) AS rows_off FROM orders"
 SQL["output_manifest"] = using(
     "levels",
     "SELECT output, row_count, CAST(least_rows AS BIGINT) AS least_rows, row_count >= least_rows AS ok FROM ("

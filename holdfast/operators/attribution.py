@@ -60,7 +60,8 @@ def _impacts(long: DataFrame) -> DataFrame:
 
 
 def driver_ranking(long: DataFrame, k: int = 10) -> DataFrame:
-    """Top features by mean absolute contribution; a mean of zero counts as decreasing."""
+    """Top features by mean absolute contribution; a mean of zero (to nine decimals) counts as
+    decreasing, as over the very population the contributions are centred on."""
     impact = round_away("mean_abs", 4)
     order = [F.desc("impact"), "feature"]
     top = _impacts(long).withColumn("impact", impact).orderBy(*order).limit(k)
@@ -68,7 +69,7 @@ def driver_ranking(long: DataFrame, k: int = 10) -> DataFrame:
         F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("place"),
         "feature",
         "impact",
-        F.when(F.col("mean_signed") > 0, "increases").otherwise("decreases").alias("direction"),
+        F.when(F.round("mean_signed", 9) > 0, "increases").otherwise("decreases").alias("direction"),
     )
 
 

@@ -19,6 +19,9 @@ from holdfast.operators.attribution import aligned
 
 WEIGHT = "_weight"
 
+#: Partitions a forest is trained on.
+PARTITIONS = 32
+
 
 def pipeline(
     num_trees: int = 300,
@@ -62,26 +65,29 @@ def pipeline(
 
 
 def weighted(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
-    """Add the balanced class weight of this frame's own rows."""
+    """Add the balanced class weight (``evaluation.class_weights``) of this frame's own rows.
+
+    Rows without a label are left out; a class without rows has no weight.
+    """
+    df = df.filter(F.col(label).isNotNull())
     of_class = lambda y: F.count_if(F.col(label) == y)
-    weights = df.agg(
-        F.struct(
-            (F.count(label) / (2 * of_class(0))).alias("kept"), (F.count(label) / (2 * of_class(1))).alias("gone")
-        )
-    ).scalar()
+    classes = (of_class(0) > 0).cast("int") + (of_class(1) > 0).cast("int")
+    weight_of = lambda y: F.try_divide(F.count(label), classes * of_class(y))
+    weights = df.agg(F.struct(weight_of(0).alias("kept"), weight_of(1).alias("gone"))).scalar()
     weight = F.when(F.col(label) == 1, F.col("_weights")["gone"]).otherwise(F.col("_weights")["kept"])
     return df.withColumn("_weights", weights).withColumn(WEIGHT, weight).drop("_weights")
 
 
-def train(df: DataFrame, stages: Pipeline | None = None, label: str = spec.LABEL) -> PipelineModel:
+def train(
+    df: DataFrame, stages: Pipeline | None = None, label: str = spec.LABEL, partitions: int = PARTITIONS
+) -> PipelineModel:
     """Fit on class-weighted rows, which stay in memory or on local disk between the passes.
 
-    A table of fewer partitions than there are cores is spread first.
+    Rows are dealt and ordered by their hash, so the bootstrap, and with it the forest, is the
+    same on any number of cores; ``partitions`` is the only thing it depends on.
     """
-    rows = weighted(df.select(*spec.FEATURES, label), label)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores)
+    rows = weighted(df.select(*spec.FEATURES, label), label).withColumn("_place", F.xxhash64(*spec.FEATURES, label))
+    rows = rows.repartition(partitions, "_place").sortWithinPartitions("_place").drop("_place")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return (stages or pipeline(label=label)).fit(rows)

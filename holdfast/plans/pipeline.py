@@ -38,7 +38,6 @@ class Run:
 
     out: str
     stages: Pipeline | None = None
-    sample_size: int = spec.SAMPLE_SIZE
     minimum: float = spec.MIN_ROC_AUC
 
     def path(self, name: str) -> str:
@@ -98,14 +97,11 @@ def train(run: Run, table: DataFrame, cuts: list[float], with_cv: bool = True) -
 
 
 def explain(run: Run, table: DataFrame) -> DataFrame:
-    """SHAP of the sampled customers as a table, with the insight document and text."""
+    """SHAP of all customers as a table, with the insight document and text."""
     spark = table.sparkSession
     model, record = sinks.load_model(spark, run.path("model"))
     trees = treeshap.forest_leaves(spark, run.path("model/pipeline"))
-    rows = stratify.sample(table, run.sample_size)
-    arrays = treeshap.shap_arrays(
-        forest.encode(model, rows), trees, tree_blocks=4, partitions=spark.sparkContext.defaultParallelism
-    )
+    arrays = treeshap.shap_arrays(forest.encode(model, table), trees)
     treeshap.shap_long(arrays, record["encoded_features"]).write.mode("overwrite").parquet(run.path("shap"))
     drivers = attr.driver_ranking(spark.read.parquet(run.path("shap")))
     sinks.save_json(attr.insight_document(drivers), run.path("insights"))

@@ -126,13 +126,8 @@ def _rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.metrics_record(scores.filter("is_test = 1"), cv_roc_auc=cv)
 
 
-def _explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampled rows, written once: the explanation reports read them several times."""
-    return written_table(spark, sf_dir, "sample", lambda: stratify.sample(telco(spark, sf_dir)))
-
-
 def _contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attr.score_contributions(_explained(spark, sf_dir), telco(spark, sf_dir))
+    return attr.score_contributions(telco(spark, sf_dir), telco(spark, sf_dir))
 
 
 def _drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +135,7 @@ def _drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = scoring.highest(scoring.rule_probability(_explained(spark, sf_dir)))
+    top = scoring.highest(rule_scored(spark, sf_dir))
     return attr.waterfall(_contributions(spark, sf_dir), top, attr.base_value(telco(spark, sf_dir)), k=5)
 
 
@@ -240,8 +235,7 @@ def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _shap_arrays(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float, PipelineModel]:
     model, _ = fitted_forest(spark, sf_dir)
     trees = treeshap.forest_leaves(spark, f"{_forest_path(spark, sf_dir)}/pipeline")
-    encoded = forest.encode(model, _explained(spark, sf_dir))
-    arrays = treeshap.shap_arrays(encoded, trees, tree_blocks=4, partitions=spark.sparkContext.defaultParallelism)
+    arrays = treeshap.shap_arrays(forest.encode(model, telco(spark, sf_dir)), trees)
     return arrays, treeshap.base_value(trees), model
 
 
@@ -252,7 +246,7 @@ def _shap_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _shap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrays, base, model = _shap_arrays(spark, sf_dir)
-    return treeshap.additivity(arrays, forest.predict(model, _explained(spark, sf_dir)), base)
+    return treeshap.additivity(arrays, forest.predict(model, telco(spark, sf_dir)), base)
 
 
 # Streams ----------------------------------------------------------------------------------
@@ -354,7 +348,7 @@ QUERIES: dict[str, Query] = {
     "driver_cards": _on(_drivers, attr.driver_cards),
     "driver_report_lines": _on(_drivers, attr.report_lines),
     "waterfall_rows": _waterfall,
-    "dependence_pairs": lambda spark, sf_dir: attr.dependence(_contributions(spark, sf_dir), _explained(spark, sf_dir)),
+    "dependence_pairs": lambda spark, sf_dir: attr.dependence(_contributions(spark, sf_dir), telco(spark, sf_dir)),
     "shap_distribution": _on(_contributions, attr.distribution),
     # forest
     "train_forest": _train_forest,

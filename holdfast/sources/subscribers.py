@@ -101,7 +101,7 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, value in ADDON_BITS.items()
     ]
     return joined.select(
-        F.concat(F.lit("C"), F.lpad(F.col("k").cast("string"), 8, "0")).alias("customerID"),
+        F.format_string("C%08d", "k").alias("customerID"),
         F.when(F.col("o_custkey") % 2 == 0, "Male").otherwise("Female").alias("gender"),
         F.when(F.col("o_custkey") % 6 == 0, 1).otherwise(0).alias("SeniorCitizen"),
         _yes_no(F.col("c_nationkey") % 2 == 0).alias("Partner"),

@@ -88,7 +88,7 @@ def test_tables_are_written_once_and_read_back(spark):
 
 
 def test_whole_run(spark, sf_dir, tmp_path):
-    run = pipeline.Run(str(tmp_path / "run"), stages=forest.pipeline(4, 5), sample_size=200)
+    run = pipeline.Run(str(tmp_path / "run"), stages=forest.pipeline(4, 5))
     metrics = pipeline.run_all(run, subscribers(spark, sf_dir), with_cv=False).first()
     assert metrics["roc_auc"] >= 0.75 and metrics["test_size"] == 300
     assert spark.read.parquet(run.path("shap")).count() == 200 * 52
