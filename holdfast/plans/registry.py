@@ -232,21 +232,71 @@ def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.reply(_forest_scored(spark, sf_dir), reference_pct=_churn_pct(spark, sf_dir))
 
 
-def _shap_arrays(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float, PipelineModel]:
+def _leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_forest_path(spark, sf_dir)}/pipeline"
+    return written_table(spark, sf_dir, "leaves", lambda: treeshap.forest_leaves(spark, path))
+
+
+def _shap_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _ = fitted_forest(spark, sf_dir)
-    trees = treeshap.forest_leaves(spark, f"{_forest_path(spark, sf_dir)}/pipeline")
-    arrays = treeshap.shap_arrays(forest.encode(model, telco(spark, sf_dir)), trees)
-    return arrays, treeshap.base_value(trees), model
+    return treeshap.shap_arrays(forest.encode(model, telco(spark, sf_dir)), _leaves(spark, sf_dir))
 
 
 def _shap_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrays, _, model = _shap_arrays(spark, sf_dir)
-    return treeshap.shap_long(arrays, forest.encoded_names(model))
+    return treeshap.shap_long(_shap_arrays(spark, sf_dir), forest.encoded_names(fitted_forest(spark, sf_dir)[0]))
 
 
 def _shap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrays, base, model = _shap_arrays(spark, sf_dir)
-    return treeshap.additivity(arrays, forest.predict(model, telco(spark, sf_dir)), base)
+    scored = forest.predict(fitted_forest(spark, sf_dir)[0], telco(spark, sf_dir))
+    return treeshap.additivity(_shap_arrays(spark, sf_dir), scored, treeshap.base_value(_leaves(spark, sf_dir)))
+
+
+# Facts about the forest's outputs that hold whatever trees it has -----------------------------
+
+
+def _train_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows the record counts, and whether it passes the gate."""
+    record = _train_forest(spark, sf_dir)
+    cells = sum((F.col(c) for c in ("false_positives", "false_negatives", "true_positives")), F.col("true_negatives"))
+    passed = (F.col("roc_auc") >= spec.MIN_ROC_AUC) & F.col("accuracy").between(0, 1)
+    return record.select("test_size", cells.alias("counted"), passed.alias("passed"))
+
+
+def _importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = fitted_forest(spark, sf_dir)
+    every = forest.importances(spark, model, k=len(forest.encoded_names(model)))
+    return every.agg(
+        F.count_distinct("feature").alias("features"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+        F.round(F.sum("importance"), 6).alias("total"),
+    )
+
+
+def _score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies, and those whose fields do not fit the probability beside them."""
+    replies = scoring.reply(_forest_scored(spark, sf_dir).withColumn("raw", F.col("probability")), key="raw")
+    p = F.col("raw")
+    tier = F.element_at(F.array(*map(F.lit, ("Low", "Medium", "High", "Critical"))), sum((p >= x).cast("int") for x in (0.3, 0.5, 0.7)) + 1)
+    fits = (
+        p.between(0, 1)
+        & (F.col("churn_prediction") == (p > 0.5).cast("int"))
+        & (F.abs(F.col("churn_probability") - p) < 0.00006)
+        & (F.abs(F.col("churn_probability") + F.col("retention_probability") - 1) < 0.00011)
+        & (F.col("risk_tier") == tier)
+        & ((F.col("action_code") == "low_risk") == (p < 0.3))
+    )
+    return replies.agg(F.count("*").alias("row_count"), F.count_if(~F.coalesce(fits, F.lit(False))).alias("rows_off"))
+
+
+def _stream_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies of the stream, and those that are not also replies of the batch, or the other way."""
+    model, _ = fitted_forest(spark, sf_dir)
+    requests = quality.validate(feats.online_features(clean_table(spark, sf_dir))).filter("is_valid").drop("errors", "is_valid")
+    batch = scoring.reply(forest.predict(model, requests))
+    side = lambda df, n: df.groupBy(*batch.columns).agg(F.count("*").alias("n")).withColumn("n", F.col("n") * n)
+    both = side(_stream_score(spark, sf_dir), 1).unionByName(side(batch, -1))
+    off = both.groupBy(*batch.columns).agg(F.sum("n").alias("off"), F.sum(F.greatest("n", F.lit(0))).alias("streamed"))
+    return off.agg(F.sum("streamed").alias("row_count"), F.count_if(F.col("off") != 0).alias("rows_off"))
 
 
 # Streams ----------------------------------------------------------------------------------
@@ -357,5 +407,9 @@ QUERIES: dict[str, Query] = {
     "score_batch": _score_batch,
     "shap_values": _shap_values,
     "shap_check": _shap_check,
+    "train_check": _train_check,
+    "importance_check": _importance_check,
+    "score_check": _score_check,
+    "stream_check": _stream_check,
     "stream_score": _stream_score,
 }

@@ -92,33 +92,33 @@ MODEL_VERSION = "1.0.0"
 
 # End of the fixed values.
 
-# Outreach wording is ours and can be replaced by passing another mapping.
+# Texts name the rule that applies; another mapping can be passed.
 RISK_ACTIONS = {
-    "m2m_first_months": "Call this week: yearly plan offer with guided setup",
-    "m2m_first_year": "Offer a yearly plan at a reduced rate",
-    "m2m_fiber": "Check fiber quality with the customer",
-    "m2m_high_bill": "Review the bill and propose a cheaper bundle",
-    "m2m_other": "Mail an incentive to move to a longer contract",
-    "few_services": "Propose support and security add-ons",
-    "steady": "Keep regular contact",
+    "m2m_first_months": "Monthly contract, tenure 0 to 6",
+    "m2m_first_year": "Monthly contract, tenure 7 to 12",
+    "m2m_fiber": "Monthly contract after 12 months, fiber",
+    "m2m_high_bill": "Monthly contract after 12 months, charge above 89",
+    "m2m_other": "Monthly contract after 12 months",
+    "few_services": "Term contract, no support and at most 2 services",
+    "steady": "Term contract, other",
 }
 SCORE_ACTIONS = {
-    "low_risk": "Regular contact, open to add-on offers",
-    "m2m_first_months": "Call this week: first-year rebate on a yearly plan with guided setup",
-    "m2m_first_year": "Offer a reduced yearly plan and show the saving",
-    "m2m_fiber_high_bill": "Technician call and rate review",
-    "m2m_other": "Mail the benefits of a longer contract",
-    "no_support": "Propose a support bundle",
-    "few_services": "Offer a trial of bundled services",
-    "watch": "Personal contact, risk at {pct}%",
+    "low_risk": "Score below 30%",
+    "m2m_first_months": "Monthly contract, tenure 0 to 6",
+    "m2m_first_year": "Monthly contract, tenure 7 to 12",
+    "m2m_fiber_high_bill": "Monthly contract after 12 months, fiber, charge above 75",
+    "m2m_other": "Monthly contract after 12 months",
+    "no_support": "Term contract without support",
+    "few_services": "Term contract, at most 2 services",
+    "watch": "No other rule applies, score {pct}%",
 }
 SEGMENT_NOTES = {
-    "Champions": "valuable and loyal: keep and reward",
-    "At Risk": "valuable and likely to leave: act first",
-    "Needs Attention": "valuable with some risk: stay close",
-    "Promising": "small bill with some risk: grow",
-    "Sleepers": "small bill and loyal: offer more",
-    "Lost Cause": "small bill and likely to leave: act last",
+    "Champions": "high value, low risk",
+    "At Risk": "high value, high risk",
+    "Needs Attention": "high value, medium risk",
+    "Promising": "low value, medium risk",
+    "Sleepers": "low value, low risk",
+    "Lost Cause": "low value, high risk",
 }
 
 RAW_SCHEMA = T.StructType(
@@ -147,6 +147,7 @@ REQUEST_SCHEMA = T.StructType(
     + [T.StructField(c, _FEATURE_TYPES.get(c, T.StringType())) for c in FEATURES]
 )
 
+# Bounds and accepted values.
 # field -> ("range", low, high) with None for an open end, or ("one_of", values)
 REQUEST_RULES = {
     "tenure": ("range", 0, 72),

@@ -20,7 +20,9 @@ def small(spark, sf_dir, telco):
     path = new_path(spark, "small-forest")
     model = forest.train(telco, forest.pipeline(num_trees=3, max_depth=4))
     sinks.save_model(spark, model, path, [35.0, 65.0, 89.0])
-    return model, path, treeshap.forest_leaves(spark, f"{path}/pipeline")
+    leaves = treeshap.forest_leaves(spark, f"{path}/pipeline").persist()
+    yield model, path, leaves
+    leaves.unpersist()
 
 
 def expected_output(tree, x, known):
@@ -48,7 +50,9 @@ def brute_shapley(tree, x):
 
 
 def test_shap_equals_all_subsets(spark, telco, small):
-    model, _, trees = small
+    model, _, leaves = small
+    trees = [treeshap.unpack(r.data) for r in leaves.orderBy("tree").collect()]
+    assert len(trees) == 3
     x = np.array([r.x for r in forest.encode(model, telco).orderBy("customer_id").limit(3).collect()])
     got = treeshap.shap_batch(trees, x, len(trees))
     for row in range(len(x)):
@@ -56,11 +60,13 @@ def test_shap_equals_all_subsets(spark, telco, small):
         assert np.allclose(got[row], want, atol=1e-12)
 
 
-@pytest.mark.parametrize("blocks", [1, 2])
-def test_shap_adds_up_to_the_probability(telco, small, blocks):
-    model, _, trees = small
-    arrays = treeshap.shap_arrays(forest.encode(model, telco), trees, tree_blocks=blocks, partitions=4)
-    row = treeshap.additivity(arrays, forest.predict(model, telco), treeshap.base_value(trees)).first()
+@pytest.mark.parametrize("block_bytes", [1, 1 << 20])
+def test_shap_adds_up_to_the_probability(spark, telco, small, block_bytes, tmp_path):
+    model, _, leaves = small
+    forest.encode(model, telco).write.parquet(str(tmp_path / "encoded"))
+    arrays = treeshap.shap_arrays(spark.read.parquet(str(tmp_path / "encoded")), leaves, block_bytes=block_bytes)
+    assert "Exchange" not in arrays._jdf.queryExecution().executedPlan().toString()
+    row = treeshap.additivity(arrays, forest.predict(model, telco), treeshap.base_value(leaves)).first()
     assert row.rows_checked == telco.count() and row.rows_off == 0
 
 

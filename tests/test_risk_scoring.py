@@ -27,7 +27,7 @@ def test_score_terms(spark):
 
 
 def test_score_bounds(spark):
-    none = {"streaming_tv": "No", "streaming_movies": "No"}
+    none = {"multiple_lines": "No", "online_backup": "No"}
     best = {c: "Yes" for c in spec.ADDON_SERVICES} | {"contract": "Two year", "tenure": 70, "internet_service": "DSL", "monthly_charges": 20.0}
     df = risk.customer_risk(staged(spark, {"tenure": 1, "monthly_charges": 100.0, **none}, best))
     assert values(df, "risk_score") == [85, 0]
@@ -48,7 +48,7 @@ def test_value_tier(spark):
 
 
 def test_risk_actions(spark):
-    quiet = {"streaming_tv": "No", "streaming_movies": "No"}
+    quiet = {"multiple_lines": "No", "online_backup": "No"}
     cases = [
         ({"tenure": 6}, "m2m_first_months"), ({"tenure": 12}, "m2m_first_year"), ({"tenure": 13}, "m2m_fiber"),
         ({"tenure": 13, "internet_service": "DSL", "monthly_charges": 89.01}, "m2m_high_bill"),
@@ -78,7 +78,7 @@ def test_recommendation_order(spark):
     p = F.when(F.col("customer_id") == "A0", 0.29).otherwise(0.725)
     out = df.withColumn("p", p).withColumn("code", scoring.score_action_code(F.col("p")))
     assert values(out, "code") == [w for _, w in cases]
-    assert values(out.withColumn("t", scoring.recommendation(F.col("code"), F.col("p"))), "t")[-1] == "Personal contact, risk at 72%"
+    assert values(out.withColumn("t", scoring.recommendation(F.col("code"), F.col("p"))), "t")[-1] == "No other rule applies, score 72%"
     assert set(spec.SCORE_ACTIONS) == {w for _, w in cases}
 
 
