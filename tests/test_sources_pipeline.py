@@ -91,7 +91,7 @@ def test_whole_run(spark, sf_dir, tmp_path):
     run = pipeline.Run(str(tmp_path / "run"), stages=forest.pipeline(4, 5))
     metrics = pipeline.run_all(run, subscribers(spark, sf_dir), with_cv=False).first()
     assert metrics["roc_auc"] >= 0.75 and metrics["test_size"] == 300
-    assert spark.read.parquet(run.path("shap")).count() == 200 * 52
+    assert spark.read.parquet(run.path("shap")).count() == subscribers(spark, sf_dir).count() * 52
     assert spark.read.json(run.path("run_log")).first()["status"] == "success"
     document = spark.read.json(run.path("insights")).first()
     assert len(document["top_churn_drivers"]) == 10
