@@ -14,7 +14,7 @@ _written: dict[tuple[str, str, str], str] = {}
 _schemas: dict[str, StructType] = {}
 
 
-def local_session(cores: int | str = "*", app: str = "holdfast") -> SparkSession:
+def local_session(cores: int | str = "*", app: str = "holdfast", warehouse: str = "spark-warehouse") -> SparkSession:
     """Session for tests and benches; a cluster brings its own."""
     parallelism = "8" if cores == "*" else str(cores)
     return (
@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", app: str = "holdfast") -> SparkSession
         .config("spark.sql.shuffle.partitions", parallelism)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.warehouse.dir", warehouse)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

@@ -11,8 +11,9 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "holdfast-tests")
+def spark(tmp_path_factory):
+    # its own warehouse: tables of a run that was stopped must not stand in the way of the next
+    session = local_session(8, "holdfast-tests", str(tmp_path_factory.mktemp("warehouse")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
