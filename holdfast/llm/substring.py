@@ -22,6 +22,8 @@ GRAM = 4
 SHARD_WORDS = 1_000_000
 #: A selector found in more documents than this is split: its windows are dealt one by one.
 WIDE_DOCUMENTS = 10_000
+#: One document in so many is looked at beforehand for selectors that many documents share.
+PROBE = 16
 
 
 def selectors(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
@@ -64,18 +66,35 @@ def _pairs(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, "m long, doc_id long")
 
 
-def _shared(pairs: DataFrame, wide: int) -> DataFrame:
+def _hot(docs: DataFrame, window: int, gram: int, wide: int, probe: int) -> DataFrame:
+    """Selectors so common in one document of ``probe`` that about ``wide`` of all hold them.
+
+    This finds what to spread before the shuffle; the result does not depend on it, since
+    whatever it misses or names without need is dealt another way and compared all the same.
+    """
+    seen = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(probe)) == 0)
+    counts = _pairs(seen, window, gram).groupBy("m").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") > max(1, wide // probe)).select("m")
+
+
+def _shared(pairs: DataFrame, hot: DataFrame, wide: int) -> DataFrame:
     """Pairs whose selector is in two documents or more; (selector, null) where in over ``wide``.
 
     Reads each partition in order of selector and holds no group: a selector's first document
-    waits for the second, the rest pass through.
+    waits for the second, the rest pass through. Pairs of hot selectors need no such company,
+    so their documents are spread over the partitions.
     """
+    common = hot.select(F.col("m").alias("hot"))
+    spread = F.when(F.col("hot").isNotNull(), F.xxhash64("doc_id"))
+    dealt = pairs.join(common, F.col("m") == F.col("hot"), "left").repartition("m", spread).sortWithinPartitions("m", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (0, 0, 0)  # selector, document and number of documents of the open group
         for batch in batches:
             m, d = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            m, d = np.append(last[0], m), np.append(last[1], d)
+            common = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            yield _rows(m[common], d[common])
+            m, d = np.append(last[0], m[~common]), np.append(last[1], d[~common])
             new = np.ones(len(m), bool)
             new[1:] = (m[1:] != m[:-1]) | (d[1:] != d[:-1])
             if not last[2]:
@@ -106,7 +125,8 @@ def _shared(pairs: DataFrame, wide: int) -> DataFrame:
         docs = pa.nulls(len(m), pa.int64()) if d is None else pa.array(d)
         return pa.record_batch([pa.array(m, pa.int64()), docs], names=["m", "doc_id"])
 
-    return pairs.repartition("m").sortWithinPartitions("m", "doc_id").mapInArrow(run, "m long, doc_id long")
+    found = dealt.select("m", "doc_id", "hot").mapInArrow(run, "m long, doc_id long")
+    return found.union(hot.select("m", F.lit(None).cast("long")))
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -200,13 +220,17 @@ def _repeats(segments: DataFrame, window: int, shard_words: int) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(search, "m long, k long, d0 long, bits binary")
 
 
-def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, wide: int = WIDE_DOCUMENTS) -> DataFrame:
+def removals(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, wide: int = WIDE_DOCUMENTS,
+    probe: int = PROBE,
+) -> DataFrame:
     """doc_id, text hash (``th``) and the repeated runs of windows of documents that have any.
 
     A run is a start word and a number of windows, or the bits of those that repeat.
     """
     known = texts(docs).filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    shared = written(_shared(_pairs(known, window, gram), wide), "shared-selectors")
+    hot = written(_hot(known, window, gram, wide, probe), "hot-selectors")
+    shared = written(_shared(_pairs(known, window, gram), hot, wide), "shared-selectors")
     segments = written(_segments(_packed(known), shared, window, gram), "segments")
     repeats = written(_repeats(segments, window, shard_words), "repeats").select(F.col("m").alias("rm"), F.col("k").alias("rk"), "d0", "bits")
     found = segments.select("doc_id", "th", "start", "n", "m", F.xxhash64("seg").alias("k")).join(

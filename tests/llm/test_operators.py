@@ -60,9 +60,27 @@ def test_substring(spark, docs, empty):
     expected = order(brute.deduplicated(ROWS))
     assert rows_of(digest(substring.deduplicate(docs))) == expected
     assert rows_of(digest(substring.deduplicate(docs, shard_words=50, wide=1))) == expected
+    assert rows_of(digest(substring.deduplicate(docs, shard_words=50, wide=1, probe=1))) == expected
     assert substring.deduplicate(empty).count() == 0
 
 
+def test_substring_spreads_a_hot_passage(spark):
+    rows = [(i, f"{PASSAGE} tail{i}" if i % 3 == 0 else " ".join(f"own{i}x{k}" for k in range(20))) for i in range(300)]
+    docs = frame(spark, rows)
+    found = substring.deduplicate(docs, wide=20, probe=1).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
+    assert rows_of(found) == order(brute.deduplicated(rows))
+    known = docs.select("doc_id", "text")
+    hot = substring._hot(known, substring.WINDOW, substring.GRAM, 20, 1).cache()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shared = substring._shared(substring._pairs(known, substring.WINDOW, substring.GRAM), hot, 20)
+        places = shared.filter("doc_id IS NOT NULL").groupBy("m").agg(F.count_distinct(F.spark_partition_id()).alias("n"))
+        spread = places.join(hot, "m").agg(F.min("n"), F.count("*")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spread[0] > 1 and spread[1] == hot.count() > 0
+
+
 def test_cut_keeps_columns(docs):
     got = substring.cut(docs)
     assert got.columns == docs.columns
