@@ -22,7 +22,7 @@ REPORTS = [
     "customer_risk", "dq_results", "rate_by_dimension", "score_output", "validate_records", "roc_auc", "roc_curve",
     "driver_ranking",
 ]
-ONCE = ["model_metrics", "train_forest", "feature_importance", "score_batch", "shap_values", "stream_rule_score"]
+ONCE = ["model_metrics", "cv_scores", "train_forest", "feature_importance", "score_batch", "shap_values", "forest_drivers", "stream_rule_score"]
 
 
 def timed(run) -> float:

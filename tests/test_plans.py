@@ -51,7 +51,7 @@ def test_split_is_a_projection(spark, sf_dir):
 
 
 def test_no_python_outside_shap(spark, sf_dir):
-    skipped = {"train_forest", "cv_scores", "feature_importance", "score_batch", "shap_values", "shap_check", "stream_score", "stream_rule_score"}
+    skipped = {"forest_drivers", "forest_waterfall", "forest_dependence", "forest_distribution", "cv_check", "explained_check", "train_forest", "cv_scores", "feature_importance", "score_batch", "shap_values", "shap_check", "stream_score", "stream_rule_score"}
     for name, query in registry.QUERIES.items():
         if name not in skipped:
             text = plan(query(spark, sf_dir))
