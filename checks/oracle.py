@@ -8,6 +8,55 @@ from __future__ import annotations
 
 from holdfast import spec
 
+# Columns of the model, and the rules of data and requests, written out here so that
+# a wrong rule in the library does not pass.
+NUMERIC = ["tenure", "monthly_charges", "total_charges", "num_services", "avg_monthly_spend", "contract_risk_score", "support_score"]
+CATEGORICAL = """gender senior_citizen partner dependents phone_service multiple_lines internet_service online_security online_backup
+device_protection tech_support streaming_tv streaming_movies contract paperless_billing payment_method tenure_segment
+monthly_charges_tier""".split()
+CONTRACT_VALUES = "'Month-to-month', 'One year', 'Two year'"
+INTERNET_VALUES = "'DSL', 'Fiber optic', 'No'"
+SEGMENT_VALUES = "'New', 'Growing', 'Established', 'Loyal', 'Champion'"
+RULES = [
+    ("customers", "customer_id", "unique"), ("customers", "customer_id", "not_null"),
+    ("customers", "churn_flag", "not_null"), ("customers", "churn_flag", "accepted_values", "0, 1"),
+    ("customers", "tenure", "not_null"), ("customers", "monthly_charges", "not_null"),
+    ("customers", "contract", "accepted_values", CONTRACT_VALUES), ("customers", "internet_service", "accepted_values", INTERNET_VALUES),
+    ("stg_customers", "customer_id", "unique"), ("stg_customers", "customer_id", "not_null"),
+    ("stg_customers", "churn_flag", "not_null"), ("stg_customers", "churn_flag", "accepted_values", "0, 1"),
+    ("stg_customers", "tenure", "not_null"), ("stg_customers", "monthly_charges", "not_null"), ("stg_customers", "total_charges", "not_null"),
+    ("stg_customers", "contract", "accepted_values", CONTRACT_VALUES), ("stg_customers", "tenure_segment", "accepted_values", SEGMENT_VALUES),
+    ("stg_customers", "contract_risk_score", "accepted_values", "1, 2, 3"),
+    ("mart_churn_kpis", "total_customers", "not_null"), ("mart_churn_kpis", "churn_rate_pct", "not_null"),
+    ("mart_churn_by_segment", "dimension", "not_null"), ("mart_churn_by_segment", "dimension_value", "not_null"),
+    ("mart_churn_by_segment", "churn_rate_pct", "not_null"),
+    ("mart_customer_risk", "customer_id", "unique"), ("mart_customer_risk", "customer_id", "not_null"),
+    ("mart_customer_risk", "risk_score", "not_null"),
+    ("mart_customer_risk", "risk_category", "accepted_values", "'Critical', 'High', 'Medium', 'Low'"),
+    ("mart_customer_risk", "recommended_action", "not_null"),
+]
+REQUESTS = [
+    ("tenure", "range", "tenure < 0 OR tenure > 72"),
+    ("monthly_charges", "range", "monthly_charges < 0 OR monthly_charges > 200"),
+    ("total_charges", "range", "total_charges < 0"),
+    ("num_services", "range", "num_services < 0 OR num_services > 7"),
+    ("avg_monthly_spend", "range", "avg_monthly_spend < 0"),
+    ("contract_risk_score", "one_of", "contract_risk_score NOT IN (1, 2, 3)"),
+    ("support_score", "range", "support_score < 0 OR support_score > 3"),
+    ("gender", "one_of", "gender NOT IN ('Male', 'Female')"),
+    ("internet_service", "one_of", f"internet_service NOT IN ({INTERNET_VALUES})"),
+    ("contract", "one_of", f"contract NOT IN ({CONTRACT_VALUES})"),
+    ("payment_method", "one_of",
+     "payment_method NOT IN ('Electronic check', 'Mailed check', 'Bank transfer (automatic)', 'Credit card (automatic)')"),
+    ("tenure_segment", "one_of", f"tenure_segment NOT IN ({SEGMENT_VALUES})"),
+    ("monthly_charges_tier", "one_of", "monthly_charges_tier NOT IN ('Low', 'Mid', 'High', 'Premium')"),
+    *((c, "one_of", f"{c} NOT IN ('Yes', 'No')") for c in (
+        "senior_citizen", "partner", "dependents", "phone_service", "multiple_lines", "online_security", "online_backup",
+        "device_protection", "tech_support", "streaming_tv", "streaming_movies", "paperless_billing",
+    )),
+]
+# End of the fixed values.
+
 # ---------------------------------------------------------------------------- shared tables
 
 _RAW = """
@@ -195,7 +244,7 @@ SQL["derive_online_features"] = using(
     (phone_service = 'Yes')::INTEGER + {_YES7} AS num_services,
     round(total_charges / greatest(tenure, 1), 2) AS avg_monthly_spend,
     {_RISKCODE} AS contract_risk_score, {_SUPPORT} AS support_score,
-    {", ".join(c for c in spec.CATEGORICAL_FEATURES if c not in ("tenure_segment", "monthly_charges_tier"))},
+    {", ".join(c for c in CATEGORICAL if c not in ("tenure_segment", "monthly_charges_tier"))},
     {_BAND} AS tenure_segment,
     CASE WHEN monthly_charges <= 35 THEN 'Low' WHEN monthly_charges <= 65 THEN 'Mid'
          WHEN monthly_charges <= 89 THEN 'High' ELSE 'Premium' END AS monthly_charges_tier FROM clean""",
@@ -473,18 +522,18 @@ define(
 SQL["scaled_features"] = using(
     "trained",
     "SELECT customer_id, "
-    + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in spec.NUMERIC_FEATURES)
+    + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in NUMERIC)
     + " FROM telco, (SELECT "
-    + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in spec.NUMERIC_FEATURES)
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMERIC)
     + " FROM trained WHERE is_test = 0)",
 )
 define(
     "levels",
     "SELECT row_number() OVER (ORDER BY no, level) - 1 AS position, feature, column_name, level FROM ("
     + " UNION ALL ".join(f"SELECT {i} AS no, '{c}' AS feature, '{c}' AS column_name, NULL AS level"
-                         for i, c in enumerate(spec.NUMERIC_FEATURES))
+                         for i, c in enumerate(NUMERIC))
     + "".join(f" UNION ALL SELECT DISTINCT {i}, '{c}_' || {c}, '{c}', {c} FROM trained WHERE is_test = 0"
-              for i, c in enumerate(spec.CATEGORICAL_FEATURES, 7))
+              for i, c in enumerate(CATEGORICAL, 7))
     + ")",
     "trained",
 )
@@ -570,15 +619,14 @@ _MODEL_SOURCE = {
 }
 
 
-def _rule_sql(model: str, column: str, rule: str, values) -> str:
+def _rule_sql(model: str, column: str, rule: str, accepted: str = "") -> str:
     source = _MODEL_SOURCE[model]
     if rule == "unique":
         failures = f"(SELECT count(*) FROM (SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1))"
     elif rule == "not_null":
         failures = f"(SELECT count(*) FROM {source} WHERE {column} IS NULL)"
     else:
-        listed = ", ".join(repr(v) for v in values)
-        failures = f"(SELECT count(*) FROM {source} WHERE {column} NOT IN ({listed}))"
+        failures = f"(SELECT count(*) FROM {source} WHERE {column} NOT IN ({accepted}))"
     return (f"SELECT '{model}' AS model, '{column}' AS column_name, '{rule}' AS rule, {failures} AS failures, "
             f"{failures} = 0 AS passed")
 
@@ -587,24 +635,19 @@ define("segmented", _CTES["by_segment"][0].split(" AS (", 1)[1][:-1], "risk")
 _MODEL_SOURCE["mart_churn_by_segment"] = "segmented"
 SQL["dq_results"] = using(
     "segmented",
-    " UNION ALL ".join(_rule_sql(model, *rule) for model, rules in spec.DATA_RULES.items() for rule in rules),
+    " UNION ALL ".join(_rule_sql(*rule) for rule in RULES),
 )
 define("online", SQL["derive_online_features"].rsplit("\nSELECT", 1)[1].join(["SELECT", ""]), "clean")
 
 
-def _field_error(field: str, rule: tuple) -> str:
-    if rule[0] == "one_of":
-        test = f"{field} NOT IN ({', '.join(repr(v) for v in rule[1])})"
-    else:
-        bounds = [f"{field} < {rule[1]}"] * (rule[1] is not None) + [f"{field} > {rule[2]}"] * (rule[2] is not None)
-        test = " OR ".join(bounds)
-    return f"CASE WHEN {field} IS NULL THEN '{field}:missing' WHEN {test} THEN '{field}:{rule[0]}' END"
+def _field_error(field: str, rule: str, broken: str) -> str:
+    return f"CASE WHEN {field} IS NULL THEN '{field}:missing' WHEN {broken} THEN '{field}:{rule}' END"
 
 
 define(
     "judged",
     "SELECT *, list_filter(["
-    + ", ".join(_field_error(f, r) for f, r in spec.REQUEST_RULES.items())
+    + ", ".join(_field_error(*r) for r in REQUESTS)
     + "], lambda e: e IS NOT NULL) AS found FROM online",
     "online",
 )
@@ -659,7 +702,7 @@ SQL["stream_rule_score"] = using(
 # ---------------------------------------------------------------------------- explanation
 
 define("sampled", "SELECT * FROM telco ORDER BY md5('42:' || customer_id), customer_id LIMIT 1000", "telco")
-SQL["explain_sample"] = using("sampled", f"SELECT customer_id, {', '.join(spec.FEATURES)} FROM sampled")
+SQL["explain_sample"] = using("sampled", f"SELECT customer_id, {', '.join(NUMERIC + CATEGORICAL)} FROM sampled")
 _TERMS = {
     "contract": ("contract_risk_score", _T_CONTRACT), "tenure": ("tenure", _T_TENURE), "fiber": ("has_fiber", _T_FIBER),
     "charges": ("monthly_charges", _T_CHARGES), "support": ("support_score", _T_SUPPORT), "services": ("num_services", _T_SERVICES),
