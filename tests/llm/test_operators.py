@@ -316,6 +316,21 @@ def test_toxicity_features():
     assert not toxicity.features([b""]).any()
 
 
+def test_toxicity_learns_words_it_does_not_list(spark):
+    """Toxic rows of another language, told by words that share a beginning only."""
+    ends = ["ab", "ec", "id", "of", "ug", "ah", "ei", "ij"]
+    bad = lambda i: " ".join(f"éblom{ends[(i + k) % 8]}{ends[(i * 3 + k) % 8]}" for k in range(3))
+    rows = [(i, f"du bla mot {ends[i % 8]} {bad(i) if i % 3 == 0 else bad(i).replace('éblom', 'éclam')} nombre {ends[i % 7]}") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    got = [r for r in toxicity.score(frame(spark, rows), labels).collect() if r.held_out]
+    assert len(got) > 50 and all(r.predicted == (r.doc_id % 3 == 0) for r in got)
+    terms = toxicity.learn_lexicon(frame(spark, rows), labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))).collect()
+    found = {(r.kind, r.term): r for r in terms}
+    n_toxic = sum(i % 3 == 0 for i, _ in rows)
+    assert (found[2, "éblom"].toxic, found[2, "éblom"].clean) == (n_toxic, 0) and (0, "écl") not in found and (0, "nom") not in found
+    assert len(toxicity.learn_lexicon(frame(spark, rows), labels.selectExpr("doc_id AS id", "toxic AS label"), 3).collect()) == 3
+
+
 def test_piece_counts(docs, empty):
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     counts = [len(model.encode(t or "")) for _, t in ROWS]
