@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -18,7 +18,8 @@ from holdfast.llm.tables import texts
 #: n-grams are hashed to this many buckets for each order.
 BITS = 15
 ORDERS = (1, 2, 3)
-#: Labelled rows the model is fitted on, about; chosen by a hash of doc_id.
+#: Labelled rows the model is fitted on, about; an equal share of each language, rare languages
+#: whole, chosen by a hash of doc_id.
 SAMPLE_ROWS = 20_000
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -81,9 +82,21 @@ def fold_of(key: Column, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def largest_share(counts: Iterable[int], limit: int) -> int:
+    """Most rows to take of each language so that they are ``limit`` at most together, but one of each."""
+    left, counts = limit, sorted(counts)
+    for i, n in enumerate(counts):
+        if n * (len(counts) - i) > left:
+            return max(left // (len(counts) - i), 1)
+        left -= n
+    return max(counts, default=1)
+
+
 def fit(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Model of the languages of the training rows, from a bounded sample of them.
 
+    Languages of few rows are in the sample with all of them; priors are counts over all
+    training rows. Only with about ``sample_rows`` languages or more may some be missed.
     Null or empty texts teach nothing; null languages are left out. n-grams are counted in
     the tasks and summed by language and bucket; what reaches the driver is the model.
     """
@@ -93,9 +106,13 @@ def fit(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS) -> Mo
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
-    n = labelled.count()
-    if n > sample_rows:
-        labelled = labelled.filter(F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7)), F.lit(n)) < sample_rows)
+    rows = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    share = largest_share(rows.values(), sample_rows)
+    large = {name: n for name, n in rows.items() if n > share}
+    if large:
+        n = F.create_map(*(F.lit(x) for pair in large.items() for x in pair))[F.col("lang")]
+        own = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7)), n) < share
+        labelled = labelled.filter(F.coalesce(own, F.lit(True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,8 +130,7 @@ def fit(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS) -> Mo
 
     counts = labelled.mapInArrow(run, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     table = counts.toArrow()
-    rows = dict(labelled.groupBy("lang").count().toArrow().to_pandas().itertuples(index=False))
-    languages = sorted(rows)
+    languages = sorted(set(table["lang"].to_pylist()))
     found = np.zeros((len(languages), len(ORDERS) * size))
     if table.num_rows:
         where = {name: i for i, name in enumerate(languages)}

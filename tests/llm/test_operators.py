@@ -247,6 +247,18 @@ def test_language(written_languages, empty):
     assert langid.identify(empty).count() == 0
 
 
+def test_language_held_by_few_rows(spark):
+    """A sample keeps a rare language whole; priors are shares of all training rows."""
+    rows = [(i, "zz" if i % 200 == 7 else "yy" if i % 3 else "xx") for i in range(1000)]
+    spell = {"zz": "qof wuq qix", "yy": "lorem amet nam", "xx": "the thing shut"}
+    table = spark.createDataFrame([(i, lang, spell[lang]) for i, lang in rows], "doc_id long, lang string, text string")
+    model = langid.fit(table, F.lit(True), sample_rows=60)
+    assert model.languages == ["xx", "yy", "zz"]
+    assert np.allclose(np.exp(model.prior), [sum(x == lang for _, x in rows) / len(rows) for lang in model.languages])
+    assert model.score(["wuq qix"])[0][0] == 2
+    assert langid.largest_share([5, 300, 695], 60) == 27 and langid.largest_share([5, 10], 60) == 10
+
+
 def test_language_without_labels(docs):
     assert {(r.lang_pred, r.score) for r in langid.identify(docs).collect()} == {("und", 0.0)}
 
