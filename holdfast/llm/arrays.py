@@ -108,9 +108,23 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 def word_hashes(words: Words) -> np.ndarray:
+    """Hashes that deal words out. Equal words have equal ones; so may different words."""
     return span_hashes(_BYTE_CODES[words.data], words.starts, words.ends)
 
 
+def word_array(words: Words) -> pa.LargeBinaryArray:
+    """The words themselves, end to end in one Arrow array."""
+    sizes = words.ends - words.starts
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    data = np.ascontiguousarray(words.data[ragged(words.starts, sizes)])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def word_codes(words: Words) -> np.ndarray:
+    """Number of each word among the distinct ones: equal numbers are equal words."""
+    return word_array(words).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions ``starts[i] .. starts[i] + lengths[i] - 1`` one after the other."""
     ends = np.cumsum(lengths)
@@ -118,6 +132,12 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+def equal_spans(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether the span of ``a`` and that of ``b`` hold the same values, place by place."""
+    differ = a[ragged(a_starts, lengths)] != b[ragged(b_starts, lengths)]
+    return sums_by(np.concatenate([[0], np.cumsum(lengths)]), differ) == 0
+
+
 def sums_by(first: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sum of the values of each range ``first[i]:first[i + 1]``."""
     total = np.zeros(len(values) + 1, np.int64 if values.dtype.kind in "biu" else np.float64)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from holdfast.llm.arrays import blocks, mix, ragged, span_hashes, sums_by, text_blocks
+from holdfast.llm.arrays import blocks, equal_spans, mix, ragged, span_hashes, sums_by, text_blocks
 from holdfast.llm.tables import texts
 
 #: A task is one thread: Spark runs as many as there are cores.
@@ -25,8 +25,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Distinct pre-tokens a task remembers; at twice as many slots, more are encoded again.
 SLOTS = 1 << 20
-#: Most ids, and most pre-tokens, a task remembers before it starts afresh.
-MEMORY_IDS, MEMORY_ENTRIES = 1 << 22, 1 << 20
+#: Most ids, pre-tokens and characters of them a task remembers before it starts afresh.
+MEMORY_IDS, MEMORY_ENTRIES, MEMORY_POINTS = 1 << 22, 1 << 20, 1 << 23
 
 
 @lru_cache(1)
@@ -95,8 +95,9 @@ def pre_tokens(points: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Memory:
-    """Values of distinct pre-tokens by hash, in a table of fixed size; what it lost is made again.
+    """Values of distinct pre-tokens, in a table of fixed size; what it lost is made again.
 
+    A hash finds the slot; the characters kept there decide whether it holds the pre-token.
     ``make`` takes pre-tokens and gives their ids end to end with the number of each.
     """
 
@@ -107,39 +108,52 @@ class Memory:
     def clear(self) -> None:
         self.key = np.zeros(self.slots, np.uint64)
         self.entry = np.zeros(self.slots, np.int64)
-        self.n = self.used = 0
-        self.begin, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, np.uint32)
+        self.n = self.used = self.spelt = 0
+        self.begin, self.length, self.at, self.size = (np.zeros(1 << 16, np.int64) for _ in range(4))
+        self.flat, self.points = np.zeros(1 << 18, np.uint32), np.zeros(1 << 18, np.uint32)
 
     def look_up(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Entry of each span of code points."""
-        if self.used > MEMORY_IDS or self.n > MEMORY_ENTRIES:
+        if self.used > MEMORY_IDS or self.n > MEMORY_ENTRIES or self.spelt > MEMORY_POINTS:
             self.clear()
+        sizes = ends - starts
         hashes = span_hashes(_codes()[points], starts, ends)
         slot = (hashes % np.uint64(self.slots)).astype(np.int64)
         entry = self.entry[slot]
-        lost = np.flatnonzero(self.key[slot] != hashes)
-        if len(lost):
+        held = np.flatnonzero((self.key[slot] == hashes) & (self.size[entry] == sizes))
+        same = equal_spans(points, starts[held], self.points, self.at[entry[held]], sizes[held])
+        known = np.zeros(len(starts), bool)
+        known[held[same]] = True
+        lost = np.flatnonzero(~known)
+        while len(lost):  # one pre-token of each hash a turn
             new, one, back = np.unique(hashes[lost], return_index=True, return_inverse=True)
             one = lost[one]
-            text = points[ragged(starts[one], ends[one] - starts[one])].tobytes().decode("utf-32-le")
-            cuts = np.concatenate([[0], np.cumsum(ends[one] - starts[one])]).tolist()
+            spelling = points[ragged(starts[one], sizes[one])]
+            text = spelling.tobytes().decode("utf-32-le")
+            cuts = np.concatenate([[0], np.cumsum(sizes[one])]).tolist()
             made, lengths = self.make([text[a:b] for a, b in zip(cuts, cuts[1:])])
-            entries = self._store(made, lengths)
+            entries = self._store(made, lengths, spelling, sizes[one])
             self.key[slot[one]], self.entry[slot[one]] = new, entries
-            entry[lost] = entries[back]
+            like = one[back]
+            same = sizes[lost] == sizes[like]
+            same[same] = equal_spans(points, starts[lost[same]], points, starts[like[same]], sizes[lost[same]])
+            entry[lost[same]] = entries[back[same]]
+            lost = lost[~same]
         return entry
 
-    def _store(self, made: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def _store(self, made: np.ndarray, lengths: np.ndarray, spelling: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         entries = self.n + np.arange(len(lengths))
-        for name, need in (("begin", self.n + len(lengths)), ("length", self.n + len(lengths)), ("flat", self.used + len(made))):
+        need = dict.fromkeys(("begin", "length", "at", "size"), self.n + len(lengths))
+        for name, n in (need | {"flat": self.used + len(made), "points": self.spelt + len(spelling)}).items():
             held = getattr(self, name)
-            if need > len(held):
-                setattr(self, name, np.concatenate([held, np.zeros(max(need, len(held)), held.dtype)]))
+            if n > len(held):
+                setattr(self, name, np.concatenate([held, np.zeros(max(n, len(held)), held.dtype)]))
         self.flat[self.used : self.used + len(made)] = made
+        self.points[self.spelt : self.spelt + len(spelling)] = spelling
         self.begin[entries] = self.used + np.cumsum(lengths) - lengths
-        self.length[entries] = lengths
-        self.n, self.used = self.n + len(lengths), self.used + len(made)
+        self.at[entries] = self.spelt + np.cumsum(sizes) - sizes
+        self.length[entries], self.size[entries] = lengths, sizes
+        self.n, self.used, self.spelt = self.n + len(lengths), self.used + len(made), self.spelt + len(spelling)
         return entries
 
 

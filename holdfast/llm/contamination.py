@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from holdfast.llm.arrays import ALNUM, ragged, split, text_blocks, word_hashes
+from holdfast.llm.arrays import ALNUM, ragged, split, text_blocks, word_array
 from holdfast.llm.tables import texts, written
 
 WINDOW = 13
@@ -24,24 +25,25 @@ SLOP = 2
 class Phrases:
     """Distinct windows of a block of items, by length, and the items each belongs to."""
 
-    terms: np.ndarray
+    terms: pa.LargeBinaryArray
     by_length: dict[int, np.ndarray] = field(default_factory=dict)
     owners: dict[int, list[list[str]]] = field(default_factory=dict)
 
 
 def phrases(items: list[tuple[str, bytes]], window: int = WINDOW) -> Phrases:
     words = split([t for _, t in items], ALNUM, lower=True)
-    hashes = word_hashes(words)
-    out = Phrases(np.unique(hashes))
+    spelt = word_array(words).dictionary_encode()
+    codes = spelt.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    out = Phrases(spelt.dictionary)
     found: dict[bytes, set[str]] = {}
     for i, (name, _) in enumerate(items):
-        own = hashes[words.first[i] : words.first[i + 1]]
+        own = codes[words.first[i] : words.first[i + 1]]
         length = min(window, len(own))
         for at in range(len(own) - length + 1 if length else 0):
             found.setdefault(own[at : at + length].tobytes(), set()).add(name)
     for length in sorted({len(k) // 8 for k in found}):
         keys = [k for k in found if len(k) == 8 * length]
-        out.by_length[length] = np.searchsorted(out.terms, np.frombuffer(b"".join(keys), np.uint64).reshape(-1, length))
+        out.by_length[length] = np.frombuffer(b"".join(keys), np.int64).reshape(-1, length)
         out.owners[length] = [sorted(found[k]) for k in keys]
     return out
 
@@ -61,14 +63,13 @@ class Segment:
     gap: int
 
     @staticmethod
-    def build(docs: list[bytes], terms: np.ndarray, gap: int) -> Segment:
+    def build(docs: list[bytes], terms: pa.LargeBinaryArray, gap: int) -> Segment:
         words = split(docs, ALNUM, lower=True)
-        hashes = word_hashes(words)
         span = len(words) + gap * (len(docs) + 2)
         if not len(terms):
             return Segment(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), span, words.first, gap)
-        term = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-        held = np.flatnonzero(terms[term] == hashes)
+        term = pc.fill_null(pc.index_in(word_array(words), value_set=terms), -1).to_numpy(zero_copy_only=False)
+        held = np.flatnonzero(term >= 0)
         place = held + gap * (np.searchsorted(words.first, held, side="right"))
         keys = np.sort(term[held].astype(np.int64) * span + place)
         begins = np.searchsorted(keys, np.arange(len(terms) + 1, dtype=np.int64) * span)

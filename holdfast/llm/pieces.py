@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,9 @@ from holdfast.llm.bpe import Memory, code_points
 from holdfast.llm.tables import texts
 
 LIMIT = 4096
-#: A text with a longer pre-token goes to the library whole: some merges there bring lower
-#: ranks after them, so they could only be applied one by one.
-LONG = 2048
+#: A sequence that is not done after so many rounds goes on with a queue of its pairs, so that a
+#: merge costs no further pass over it.
+ROUNDS = 64
 SPACE_MARK = 0x2581
 _NO_MERGE = np.iinfo(np.int64).max
 
@@ -36,6 +37,13 @@ class Merges:
     rank: np.ndarray
     settles: np.ndarray
     joined: np.ndarray
+    dealt: dict[int, tuple[int, int]] = field(default_factory=dict)
+
+    def by_pair(self) -> dict[int, tuple[int, int]]:
+        """Rank and result of each pair."""
+        if not self.dealt:
+            self.dealt.update(zip(self.pairs.tolist(), zip(self.rank.tolist(), self.result.tolist())))
+        return self.dealt
 
 
 @lru_cache(2)
@@ -96,7 +104,9 @@ def merge(m: Merges, points: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.zeros(len(first) - 1, np.int64)
     who = np.arange(len(total))
     lengths = np.diff(first)
-    while len(symbol):
+    for _ in range(ROUNDS):
+        if not len(symbol):
+            return total
         ends = np.cumsum(lengths)
         pair = np.full(len(symbol), -1)
         pair[:-1] = _pair(m, symbol[:-1], symbol[1:])
@@ -124,9 +134,42 @@ def merge(m: Merges, points: np.ndarray, first: np.ndarray) -> np.ndarray:
         lengths = np.add.reduceat(keep, ends - lengths, dtype=np.int64)
         symbol, cost = symbol[keep], cost[keep]
         who, lengths = who[~done], lengths[~done]
+    at = np.concatenate([[0], np.cumsum(lengths)]).tolist()
+    for i, lo, hi in zip(who.tolist(), at, at[1:]):
+        total[i] = _queued(m, symbol[lo:hi], cost[lo:hi])
     return total
 
 
+def _queued(m: Merges, symbols: np.ndarray, costs: np.ndarray) -> int:
+    """Pieces of one sequence after all its merges: the lowest rank of the queue next, the
+    leftmost among equals. Symbols are a linked list, so a merge only touches its neighbours."""
+    n, of = len(m.cost), m.by_pair()
+    symbol, after, before = symbols.tolist(), [*range(1, len(symbols)), -1], [*range(-1, len(symbols) - 1)]
+    def offer(i: int) -> tuple | None:
+        j = after[i]
+        found = of.get(symbol[i] * n + symbol[j]) if j >= 0 and symbol[i] >= 0 and symbol[j] >= 0 else None
+        return (found[0], i, symbol[i], symbol[j]) if found else None
+
+    queue = [x for i in range(len(symbol)) if (x := offer(i))]
+    heapify(queue)
+    alive = bytearray(b"\1" * len(symbol))
+    while queue:
+        _, i, left, right = heappop(queue)
+        j = after[i]
+        if j < 0 or symbol[i] != left or symbol[j] != right or not alive[i]:
+            continue  # one of the two has changed since
+        symbol[i] = of[left * n + right][1]
+        alive[j] = 0
+        after[i] = after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        for k in (before[i], i):
+            if k >= 0 and (x := offer(k)):
+                heappush(queue, x)
+    last = np.array(symbol)
+    return int(np.where(last == symbols, costs, m.cost[last])[np.frombuffer(alive, bool)].sum())
+
+
 class Counter:
     """Token counts of texts; the pieces of a distinct pre-token are counted once a worker."""
 
@@ -143,19 +186,8 @@ class Counter:
         normal = [self.model.normalize(t) for t in docs]
         points, first = code_points(normal)
         starts = self._cuts(points, first)
-        ends = np.append(starts[1:], len(points))
-        long = np.unique(np.searchsorted(first, starts[ends - starts > LONG], side="right") - 1).tolist()
-        if long:
-            for i in long:
-                normal[i] = ""
-            points, first = code_points(normal)
-            starts = self._cuts(points, first)
-            ends = np.append(starts[1:], len(points))
-        entry = self.memory.look_up(points, starts, ends)
-        counts = sums_by(np.searchsorted(starts, first), self.memory.length[entry])
-        for i in long:
-            counts[i] = len(self.model.encode(docs[i]))
-        return counts
+        entry = self.memory.look_up(points, starts, np.append(starts[1:], len(points)))
+        return sums_by(np.searchsorted(starts, first), self.memory.length[entry])
 
     def _cuts(self, points: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Starts of pre-tokens: before a space mark, and between characters that no piece joins."""

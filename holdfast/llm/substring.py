@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.arrays import NOT_SPACE, blocks, ragged, span_hashes, split, text_blocks, utf8, word_hashes
+from holdfast.llm.arrays import NOT_SPACE, blocks, ragged, span_hashes, split, text_blocks, utf8, word_codes, word_hashes
 from holdfast.llm.fm_index import FMIndex
 from holdfast.llm.tables import texts, written
 
@@ -190,17 +190,22 @@ def _segments(packed: DataFrame, shared: DataFrame, window: int, gram: int) -> D
     return joined.mapInArrow(run, "doc_id long, th long, start long, n long, m long, seg string")
 
 
+def _digest() -> Column:
+    return F.unhex(F.sha2("seg", 256))
+
+
 def _repeats(segments: DataFrame, window: int, shard_words: int) -> DataFrame:
     """Segment texts that repeat: their first document and, for it, the windows that also stand
     in a segment of a smaller one.
 
-    Copies of a segment meet in one row before the shuffle. A shard indexes its segments and
-    streams each of them backwards through the index.
+    Copies of a segment meet in one row before the shuffle. A shard numbers the words of its
+    segments, indexes these and streams each of them backwards through the index. Hashes of
+    words only choose the shard; ``k`` is the SHA-256 of a segment's text.
     """
     total = segments.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
     shards = max(1, -(-total // shard_words))
     classes = segments.groupBy("m", "seg").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"))
-    dealt = classes.select(F.pmod(F.xxhash64("m"), F.lit(shards)).alias("shard"), "m", F.xxhash64("seg").alias("k"), "seg", "d0", "d1")
+    dealt = classes.select(F.pmod(F.xxhash64("m"), F.lit(shards)).alias("shard"), "m", _digest().alias("k"), "seg", "d0", "d1")
 
     def search(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -208,7 +213,7 @@ def _repeats(segments: DataFrame, window: int, shard_words: int) -> DataFrame:
         d0 = table["d0"].to_numpy()
         owners = np.unique(d0, return_inverse=True)[1]
         windows = np.diff(words.first) - window + 1
-        index = FMIndex(word_hashes(words), words.first, owners, window)
+        index = FMIndex(word_codes(words), words.first, owners, window)
         ends = ragged(words.first[:-1] + window - 1, windows)
         again = index.matching(ends, np.repeat(owners, windows), window) == window
         cuts = np.concatenate([[0], np.cumsum(windows)])
@@ -217,7 +222,7 @@ def _repeats(segments: DataFrame, window: int, shard_words: int) -> DataFrame:
         bits = [np.packbits(again[cuts[i] : cuts[i + 1]]).tobytes() if some[i] else None for i in keep.tolist()]
         return table.select(["m", "k", "d0"]).take(pa.array(keep)).append_column("bits", pa.array(bits, pa.binary()))
 
-    return dealt.groupBy("shard").applyInArrow(search, "m long, k long, d0 long, bits binary")
+    return dealt.groupBy("shard").applyInArrow(search, "m long, k binary, d0 long, bits binary")
 
 
 def removals(
@@ -233,7 +238,7 @@ def removals(
     shared = written(_shared(_pairs(known, window, gram), hot, wide), "shared-selectors")
     segments = written(_segments(_packed(known), shared, window, gram), "segments")
     repeats = written(_repeats(segments, window, shard_words), "repeats").select(F.col("m").alias("rm"), F.col("k").alias("rk"), "d0", "bits")
-    found = segments.select("doc_id", "th", "start", "n", "m", F.xxhash64("seg").alias("k")).join(
+    found = segments.select("doc_id", "th", "start", "n", "m", _digest().alias("k")).join(
         repeats, (F.col("m") == F.col("rm")) & (F.col("k") == F.col("rk")) & ((F.col("doc_id") > F.col("d0")) | F.col("bits").isNotNull())
     )
     run = F.struct("start", "n", F.expr("CASE WHEN doc_id = d0 THEN bits END").alias("bits"))
@@ -289,11 +294,11 @@ def cut(docs: DataFrame, window: int = WINDOW, **settings) -> DataFrame:
 
     @F.udf("string", useArrow=True)
     def kept(text, runs):
-        return _kept(text.encode(), runs, window)[3] if runs else text
+        return _kept(text.encode(), runs, window)[3] if runs else None
 
     found = removals(docs, window, **settings).select(F.col("doc_id").alias("id"), F.col("th").alias("hash"), "runs")
     text = F.col("text").cast("string")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), text.alias("whole"), F.xxhash64(text).alias("th"))
     joined = rows.join(found, (F.col("key") == F.col("id")) & (F.col("th") == F.col("hash")), "left")
-    now = F.when(F.col("runs").isNull(), F.col("whole")).otherwise(kept("whole", "runs"))
+    now = F.when(F.col("runs").isNull(), F.col("whole")).otherwise(kept(F.when(F.col("runs").isNotNull(), F.col("whole")), "runs"))
     return joined.select(F.col("row").withField("text", now).alias("row")).select("row.*")

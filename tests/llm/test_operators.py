@@ -19,10 +19,15 @@ from tests.llm import brute
 
 PASSAGE = " ".join(f"word{i}" for i in range(40))
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+#: Words of two letters that a polynomial hash modulo 2^64 takes for each other.
+MORSE = {n: "".join("ab"[i.bit_count() % 2] for i in range(n)) for n in (1024, 2048)}
+ESROM = {n: w.translate(str.maketrans("ab", "ba")) for n, w in MORSE.items()}
+TWELVE = " ".join(f"after{i}" for i in range(12))
 TEXTS = [
     None, "", "   \n\t ", "one", "two words", PASSAGE, PASSAGE, f"before {PASSAGE} after", PASSAGE.upper(),
     "the quick brown fox jumps over the lazy dog " * 3, "é ß 中文 😀 don't 's 're \r\n\x0b x", "a" * 3000, LONG, LONG + " end",
     "<|endoftext|> and <s> </s> <0x0A>", "| a | b | c |\n| a | b | c |\n\n| a | b | c |", "\x00\x01 nul", "1234 5678 9",
+    *(f"{w[n]} {TWELVE}" for n in MORSE for w in (MORSE, ESROM)), *(w[n] for n in MORSE for w in (MORSE, ESROM)), "xy" * 30_000,
 ]
 ROWS = [*enumerate(TEXTS), (5, PASSAGE), (5, PASSAGE), (None, PASSAGE), (None, None), (-3, f"x y z {PASSAGE}"), (7, "other text of the same id")]
 
@@ -148,7 +153,7 @@ def test_codes(top, n):
     assert (codes.all() == ids).all() and (codes.get(places) == ids[places]).all() and len(codes) == n
 
 
-ITEMS = [(1, " ".join(f"Word{i}" for i in range(3, 20))), (2, "quick brown fox"), (10, "Quick BROWN-fox!"), (3, None), (4, ""), (None, "nul"), (2, "中文")]
+ITEMS = [(1, " ".join(f"Word{i}" for i in range(3, 20))), (2, "quick brown fox"), (10, "Quick BROWN-fox!"), (3, None), (4, ""), (None, "nul"), (2, "中文"), (11, MORSE[1024]), (12, f"{ESROM[2048]} {TWELVE}")]
 
 
 @pytest.mark.parametrize("item_bytes", [8 << 20, 30])
@@ -357,5 +362,7 @@ def test_piece_counts_of_odd_texts():
     rng = random.Random(3)
     pool = [" ", "  ", "▁", "a", "in", "the", "ing", "é", "中", "😀", "<s>", "<unk>", "<0x0A>", "\n", "\x00", "00", "...", "ation", "ﬁ", "aaaa", "Ġ"]
     texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
-    texts += [" " * 5000, "-" * 3000 + " x", "ab" * 2500]
+    texts += [" " * 5000, "-" * 3000 + " x", "ab" * 2500, *MORSE.values(), *ESROM.values()]
+    texts += ["".join(rng.choice("abcdeinorst") for _ in range(n)) for n in (65, 700, 3000, 100_000)]
+    texts += ["".join(rng.choice(["中", "é", "the", "in", "😀"]) for _ in range(9000))]
     assert own.counts(texts).tolist() == [len(t) for t in model.encode(texts)]
