@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from holdfast.llm import bpe, contamination, langid, pieces, quality, sharding, simhash, substring, token_files, toxicity
+from holdfast.llm import (
+    bpe, contamination, langid, pieces, prefix_trie, quality, quality_model, sharding, simhash, substring, token_files, toxicity,
+    whitening,
+)
 from holdfast.llm.sql import SQL
 from holdfast.llm.tables import read
 from holdfast.session import new_path
@@ -56,6 +59,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.count(read(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for name, f in list(globals().items()) if name.startswith("op")}
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:

@@ -146,8 +146,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM rules
 """
 
+TRIE = """
+WITH c AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), k AS (
+  SELECT conv_id, ts, xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT), lambda crc, b:
+    list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)), 4294967295::BIGINT), 4294967295) % 9 AS h
+  FROM c
+), f AS (
+  SELECT k.conv_id, list_concat(coalesce(b.ts[1:k.h], []), coalesce(k.ts[k.h + 1:], [])) AS ts
+  FROM k LEFT JOIN k AS b ON b.conv_id = k.conv_id - k.conv_id % 5
+), p AS (
+  SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS depth FROM f
+), nodes AS (
+  SELECT ts[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(ts) = depth) AS ends
+  FROM p GROUP BY node, depth
+), links AS (
+  SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), sizes AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(node[depth].t) END AS own
+  FROM nodes LEFT JOIN links USING (node, depth)
+), below AS (
+  SELECT node[1:up] AS node, up AS depth, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(own)::BIGINT AS saved_tokens
+  FROM (SELECT node, own, n_children, unnest(range(depth + 1)) AS up FROM sizes) GROUP BY ALL
+)
+SELECT s.conv_id, s.depth, parent.conv_id AS parent_conv_id, s.n_convs, s.n_children, n_leaves, saved_tokens,
+  sha256(coalesce(s.ends, '')) AS ends_sha256
+FROM sizes AS s JOIN below USING (node, depth) LEFT JOIN nodes AS parent ON s.depth > 0 AND parent.depth = s.depth - 1 AND parent.node = s.node[1:s.depth - 1]
+"""
+
 SQL = {
     "op1_substring_dedup": SUBSTRING,
     "op3_benchmark_decontamination": CONTAMINATION,
     "op6_quality_rules": QUALITY,
+    "op12_conversation_trie": TRIE,
 }

@@ -1,9 +1,11 @@
 """Plain Python versions of the operators, written from their definitions."""
 
 import hashlib
+import math
 import re
 import struct
 import zlib
+from fractions import Fraction
 
 import xxhash
 
@@ -100,6 +102,55 @@ def deduplicated(docs, window=13):
     return out
 
 
+def scaled(rows, scale=256):
+    """(vec_id, whole numbers) of the usable rows."""
+    usable = [(i, v) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    size = max((len(v) for _, v in usable), default=0)
+    return [(i, [math.floor(scale * c) for c in v]) for i, v in usable if len(v) == size]
+
+
+def whitened(rows, k=4):
+    """n, deviation by vec_id and the exact covariance matrix of the distinct vectors."""
+    usable = scaled(rows)
+    points = sorted({tuple(v) for _, v in usable})
+    n, d = len(points), len(points[0])
+    sums = [sum(p[i] for p in points) for i in range(d)]
+    off = [[n * p[i] - sums[i] for i in range(d)] for p in points]
+    cov = [[Fraction(sum(o[i] * o[j] for o in off), n**3) for j in range(d)] for i in range(d)]
+    return n, [(i, sum((n * c - s) ** 2 for c, s in zip(v, sums))) for i, v in usable], cov
+
+
+def prefix_nodes(rows):
+    """Every prefix of the forked conversations, from rows of (conv_id, turn, role, text)."""
+    own = {}
+    for c, turn, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        own.setdefault(c, []).append((role or "", text or ""))
+    forks = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        forks[c] = tuple(own.get(c - int(math.fmod(c, 5)), [])[:h] + turns[h:])
+    members = {}
+    for c, turns in forks.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    leaves, saved = dict.fromkeys(members, 0), dict.fromkeys(members, 0)
+    for node, own_members in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in children
+            saved[node[:d]] += (len(own_members) - 1) * len(node[-1][1].encode()) if node else 0
+    return [
+        (
+            min(m), len(node), min(members[node[:-1]]) if node else None, len(m), len(children.get(node, [])), leaves[node], saved[node],
+            sha(",".join(str(c) for c in sorted(m) if len(forks[c]) == len(node)).encode()),
+        )
+        for node, m in members.items()
+    ]
+
+
 def ids_bytes(ids):
     return b"".join(struct.pack("<I", i) for i in ids)
 
