@@ -112,8 +112,19 @@ class Memory:
         self.begin, self.length, self.at, self.size = (np.zeros(1 << 16, np.int64) for _ in range(4))
         self.flat, self.points = np.zeros(1 << 18, np.uint32), np.zeros(1 << 18, np.uint32)
 
-    def look_up(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Entry of each span of code points."""
+    def look_up(self, points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Entry of each span of code points; a span ends where the next begins."""
+        cuts = pa.py_buffer(4 * np.append(starts, len(points)))
+        spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, cuts, pa.py_buffer(np.ascontiguousarray(points))])
+        numbered = spans.dictionary_encode()
+        if not len(numbered):
+            return np.zeros(0, np.int64)
+        _, ends, data = numbered.dictionary.buffers()
+        ends = np.frombuffer(ends, np.int64, len(numbered.dictionary) + 1) // 4
+        distinct = np.frombuffer(data, np.uint32, ends[-1])
+        return self._entries(distinct, ends[:-1], ends[1:])[numbered.indices.to_numpy()]
+
+    def _entries(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if self.used > MEMORY_IDS or self.n > MEMORY_ENTRIES or self.spelt > MEMORY_POINTS:
             self.clear()
         sizes = ends - starts
@@ -183,7 +194,7 @@ class Encoder:
             plain[i] = ""
         points, first = code_points(plain)
         starts = pre_tokens(points, first)
-        entry = self.memory.look_up(points, starts, np.append(starts[1:], len(points)))
+        entry = self.memory.look_up(points, starts)
         lengths = self.memory.length[entry]
         ids = self.memory.flat[ragged(self.memory.begin[entry], lengths)]
         counts = sums_by(np.searchsorted(starts, first), lengths)

@@ -186,7 +186,7 @@ class Counter:
         normal = [self.model.normalize(t) for t in docs]
         points, first = code_points(normal)
         starts = self._cuts(points, first)
-        entry = self.memory.look_up(points, starts, np.append(starts[1:], len(points)))
+        entry = self.memory.look_up(points, starts)
         return sums_by(np.searchsorted(starts, first), self.memory.length[entry])
 
     def _cuts(self, points: np.ndarray, first: np.ndarray) -> np.ndarray:
