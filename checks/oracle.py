@@ -769,13 +769,13 @@ SQL["waterfall_rows"] = using(
     "UNION ALL SELECT 6, 'score', NULL, round(sum(contribution) + max(base), 6) FROM one",
 )
 SQL["shap_check"] = "SELECT count(*) AS rows_checked, CAST(0 AS BIGINT) AS rows_off FROM orders"
-SQL["score_check"] = "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off FROM orders"
+SQL["score_check"] = "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off, CAST(0 AS BIGINT) AS scores_off FROM orders"
 SQL["stream_check"] = using("judged", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off FROM judged WHERE len(found) = 0")
 SQL["train_check"] = using(
     "graded", "SELECT count(*) AS test_size, count(*) AS counted, TRUE AS passed FROM graded WHERE is_test = 1"
 )
 SQL["cv_check"] = using(
-    "dealt", "SELECT count(DISTINCT fold) AS folds, CAST(0 AS BIGINT) AS rows_off, TRUE AS adds_up FROM dealt"
+    "dealt", "SELECT fold, count(*) AS row_count, count(*) FILTER (WHERE churn_flag = 1) AS positives, TRUE AS fits FROM dealt GROUP BY fold"
 )
 SQL["explained_check"] = (
     "SELECT CAST(10 AS BIGINT) AS drivers, CAST(0 AS BIGINT) AS misplaced, TRUE AS ends_at_score, count(*) AS points, "

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast import spec
@@ -19,8 +21,9 @@ from holdfast.operators.attribution import aligned
 
 WEIGHT = "_weight"
 
-#: Partitions a forest is trained on.
-PARTITIONS = 32
+#: A forest is trained on a partition for so many rows, but on this many at least. Each partition
+#: sends its sums of every node that is split, so more of them than the rows need only cost.
+PARTITION_ROWS, LEAST_PARTITIONS = 250_000, 8
 
 
 def pipeline(
@@ -59,40 +62,64 @@ def pipeline(
                 maxBins=max_bins,
                 seed=seed,
                 maxMemoryInMB=memory_mb,
+                cacheNodeIds=True,
             ),
         ]
     )
 
 
-def weighted(df: DataFrame, label: str = spec.LABEL) -> DataFrame:
-    """Add the balanced class weight (``evaluation.class_weights``) of this frame's own rows.
-
-    Rows without a label are left out; a class without rows has no weight.
-    """
-    df = df.filter(F.col(label).isNotNull())
-    of_class = lambda y: F.count_if(F.col(label) == y)
-    classes = (of_class(0) > 0).cast("int") + (of_class(1) > 0).cast("int")
-    weight_of = lambda y: F.try_divide(F.count(label), classes * of_class(y))
-    weights = df.agg(F.struct(weight_of(0).alias("kept"), weight_of(1).alias("gone"))).scalar()
-    weight = F.when(F.col(label) == 1, F.col("_weights")["gone"]).otherwise(F.col("_weights")["kept"])
-    return df.withColumn("_weights", weights).withColumn(WEIGHT, weight).drop("_weights")
-
-
-def train(
-    df: DataFrame, stages: Pipeline | None = None, label: str = spec.LABEL, partitions: int = PARTITIONS
-) -> PipelineModel:
-    """Fit on class-weighted rows, which stay in memory or on local disk between the passes.
-
-    Rows are dealt and ordered by their hash, so the bootstrap, and with it the forest, is the
-    same on any number of cores; ``partitions`` is the only thing it depends on.
-    """
-    rows = weighted(df.select(*spec.FEATURES, label), label).withColumn("_place", F.xxhash64(*spec.FEATURES, label))
-    rows = rows.repartition(partitions, "_place").sortWithinPartitions("_place").drop("_place")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+@dataclass
+class Prepared:
+    """Training rows (label, kept columns, ``features``) in a fixed order, encoded once and held
+    while forests are fitted on them or on parts of them."""
+
+    encoder: PipelineModel
+    classifier: RandomForestClassifier
+    rows: DataFrame
+    partitions: int
+    label: str
+
+    def fit(self, part: Column | None = None) -> RandomForestClassificationModel:
+        """Forest on the rows for which ``part`` holds; classes are balanced among these
+        (``evaluation.class_weights``), and a class without rows has no weight."""
+        rows = self.rows if part is None else self.rows.filter(part)
+        n = {r[0]: r[1] for r in rows.groupBy(self.label).count().collect()}
+        weight = F.lit(None).cast("double")
+        for of_class, rows_of_class in n.items():
+            weight = F.when(F.col(self.label) == of_class, sum(n.values()) / (len(n) * rows_of_class)).otherwise(weight)
+        return self.classifier.fit(rows.withColumn(WEIGHT, weight))
+
+    def pipeline(self, forest: RandomForestClassificationModel) -> PipelineModel:
+        return PipelineModel([*self.encoder.stages, forest])
+
+
+@contextmanager
+def prepared(
+    df: DataFrame, stages: Pipeline | None = None, label: str = spec.LABEL, keep: Sequence[str] = (), partitions: int | None = None
+) -> Iterator[Prepared]:
+    """Labelled rows, encoded and dealt by their hash, so the bootstrap, and with it the forest, is
+    the same on any number of cores; ``partitions``, by default a function of the number of rows,
+    is the only thing it depends on. They stay in memory or on local disk until the context ends."""
+    stages = stages or pipeline(label=label)
+    rows = df.filter(F.col(label).isNotNull()).select(*spec.FEATURES, label, *keep)
+    if partitions is None:
+        partitions = max(LEAST_PARTITIONS, -(-rows.count() // PARTITION_ROWS))
+    *encoding, classifier = stages.getStages()
+    encoder = Pipeline(stages=encoding).fit(rows)
+    dealt = rows.withColumn("_place", F.xxhash64(*spec.FEATURES, label))
+    encoded = encoder.transform(dealt).select("_place", label, *keep, "features")
+    encoded = encoded.repartition(partitions, "_place").sortWithinPartitions("_place").drop("_place")
+    encoded = encoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return (stages or pipeline(label=label)).fit(rows)
+        yield Prepared(encoder, classifier, encoded, partitions, label)
     finally:
-        rows.unpersist()
+        encoded.unpersist()
+
+
+def train(df: DataFrame, stages: Pipeline | None = None, label: str = spec.LABEL, partitions: int | None = None) -> PipelineModel:
+    """Fit on class-weighted rows (``prepared``)."""
+    with prepared(df, stages, label, partitions=partitions) as ready:
+        return ready.pipeline(ready.fit())
 
 
 def predict(model: PipelineModel, df: DataFrame, probability: str = "probability") -> DataFrame:
@@ -122,24 +149,68 @@ def importances(spark: SparkSession, model: PipelineModel, k: int = 20) -> DataF
     return rows.select("feature", F.col("x").alias("importance")).orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def cross_validate(
-    df: DataFrame, stages: Pipeline, fold: str = "fold", label: str = spec.LABEL, parallelism: int = 2
-) -> DataFrame:
-    """ROC-AUC per held-out fold. Class weights are computed on the training part of each fit."""
-    spark = df.sparkSession
-    numbers = sorted(r[0] for r in df.select(fold).distinct().collect())
+def fold_models(df: DataFrame, stages: Pipeline, fold: str = "fold", label: str = spec.LABEL) -> dict[int, PipelineModel]:
+    """A model for each held-out fold, fitted on the other folds. All are fitted on one encoded
+    table; classes are weighted by the rows of each fit. Encoding does not see labels, and what it
+    learns from a held-out row (levels no other row has, scale) changes no split of the others."""
+    with prepared(df, stages, label, keep=[fold]) as ready:
+        numbers = sorted(r[0] for r in ready.rows.select(fold).distinct().collect())
+        return {number: ready.pipeline(ready.fit(F.col(fold) != number)) for number in numbers}
 
-    def held_out(number: int) -> DataFrame:
-        model = train(df.filter(F.col(fold) != number), stages, label)
-        scored = predict(model, df.filter(F.col(fold) == number), "score")
-        return scored.select(F.lit(number).alias("fold"), label, "score")
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        parts = list(pool.map(inheritable_thread_target(spark)(held_out), numbers))
+def held_out_scores(
+    df: DataFrame, models: dict[int, PipelineModel], fold: str = "fold", label: str = spec.LABEL, keep: Sequence[str] = ()
+) -> DataFrame:
+    """fold, label and score of every row, by the model that has not seen its fold."""
+    parts = [
+        predict(model, df.filter(F.col(fold) == number), "score").select(*keep, F.lit(number).alias("fold"), label, "score")
+        for number, model in models.items()
+    ]
     scored = parts[0]
     for part in parts[1:]:
         scored = scored.unionByName(part)
-    return evaluation.roc_auc(scored, label, by=["fold"])
+    return scored
+
+
+def cross_validate(df: DataFrame, stages: Pipeline, fold: str = "fold", label: str = spec.LABEL) -> DataFrame:
+    """ROC-AUC per held-out fold."""
+    return evaluation.roc_auc(held_out_scores(df, fold_models(df, stages, fold, label), fold, label), label, by=["fold"])
+
+
+def node_table(spark: SparkSession, model_path: str) -> DataFrame:
+    """Nodes of a saved forest: tree and id in one number, those of its children (a leaf leads to
+    itself), feature, threshold, and the class 1 share of its training weight."""
+    node = F.col("nodeData")
+    number = lambda i: F.shiftleft(F.col("treeID").cast("long"), 32) + i
+    leaf = node["leftChild"] < 0
+    split, stats = node["split"], node["impurityStats"]
+    # a 0/1 feature splits by category: 0 goes left, or 1 does
+    by_category = split["numCategories"] != -1
+    first = F.get(split["leftCategoriesOrThreshold"], 0)
+    left, right = number(node["leftChild"]), number(node["rightChild"])
+    turned = by_category & (first == 1.0)
+    return spark.read.parquet(f"{model_path}/stages/*_RandomForestClassifier_*/data").select(
+        number(node["id"]).alias("node"),
+        F.when(leaf, number(node["id"])).when(turned, right).otherwise(left).alias("below"),
+        F.when(leaf, number(node["id"])).when(turned, left).otherwise(right).alias("above"),
+        F.when(leaf, 0).otherwise(split["featureIndex"]).alias("feature"),
+        F.when(by_category, F.lit(0.5)).otherwise(first).alias("threshold"),
+        F.try_divide(F.get(stats, 1), F.aggregate(stats, F.lit(0.0), lambda a, b: a + b)).alias("share"),
+    )
+
+
+def walk(encoded: DataFrame, nodes: DataFrame, trees: int, depth: int, key: str = spec.KEY) -> DataFrame:
+    """key and class 1 probability (``walked``) of each record, from the node table alone: a join
+    for each level, then the mean share of the leaves. Spark broadcasts the nodes if they are few."""
+    steps = encoded.select(key, "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("t"))
+    steps = steps.select(key, "x", F.shiftleft(F.col("t").cast("long"), 32).alias("at"))
+    inner = nodes.select("node", "below", "above", "feature", "threshold")
+    for _ in range(depth):
+        joined = steps.join(inner, F.col("at") == F.col("node"))
+        value = F.col("x")[F.col("feature")]
+        steps = joined.select(key, "x", F.when(value <= F.col("threshold"), F.col("below")).otherwise(F.col("above")).alias("at"))
+    leaves = nodes.select("node", "share")
+    return steps.join(leaves, F.col("at") == F.col("node")).groupBy(key).agg(F.avg("share").alias("walked"))
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast import spec
@@ -186,15 +186,16 @@ def _rule_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Forest -----------------------------------------------------------------------------------
 
-TREES, DEPTH = 20, 8
+TREES, DEPTH = 300, 15
 _loaded: dict[str, tuple[PipelineModel, dict]] = {}
 
 
 def _forest_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
-        model = forest.train(_training(spark, sf_dir), forest.pipeline(TREES, DEPTH))
+        with forest.prepared(_training(spark, sf_dir), forest.pipeline(TREES, DEPTH)) as ready:
+            model = ready.pipeline(ready.fit())
         cuts = [float(c) for c in feats.charge_thresholds(clean_table(spark, sf_dir)).first()]
-        save_model(spark, model, path, cuts)
+        save_model(spark, model, path, cuts, ready.partitions)
         _loaded[path] = (model, {"charge_cuts": cuts})
 
     return written_once(spark, sf_dir, "forest", write)
@@ -216,11 +217,19 @@ def _train_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.metrics_record(_as_score(tested), cv_roc_auc=cv)
 
 
+def _held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every training row by the forest that has not seen its fold; fitted and written once."""
+
+    def build() -> DataFrame:
+        training = _training(spark, sf_dir)
+        models = forest.fold_models(training, forest.pipeline(TREES, DEPTH))
+        return forest.held_out_scores(training, models, keep=[spec.KEY])
+
+    return written_table(spark, sf_dir, "held-out", build)
+
+
 def _fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ROC-AUC of each fold; the folds are fitted once and their few scores written."""
-    return written_table(
-        spark, sf_dir, "fold-scores", lambda: forest.cross_validate(_training(spark, sf_dir), forest.pipeline(TREES, DEPTH))
-    )
+    return ev.roc_auc(_held_out(spark, sf_dir), by=["fold"])
 
 
 def _cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,15 +306,23 @@ def _train_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cv_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folds scored, scores out of range, and whether mean and deviation follow from the scores."""
-    auc = F.col("roc_auc")
-    mean, square = F.avg(auc), F.avg(auc * auc)
-    close = lambda a, b: F.abs(a - b) < 0.0002
-    return _cv_scores(spark, sf_dir).agg(
-        F.count_distinct("fold").alias("folds"),
-        F.count_if(~F.coalesce(auc.between(0.5, 1), F.lit(False))).alias("rows_off"),
-        (close(mean, F.max("mean_roc_auc")) & close(F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))), F.max("sd_roc_auc"))).alias("adds_up"),
+    """Rows and positives scored in each fold, whether its AUC is that of its rows' mean ranks, and
+    whether mean and deviation of all folds follow."""
+    scores = _held_out(spark, sf_dir)
+    in_order = Window.partitionBy("fold").orderBy("score")
+    ranked = scores.select("fold", spec.LABEL, "score", F.rank().over(in_order).alias("r"))
+    ties = ranked.withColumn("r", F.col("r") + (F.count("*").over(Window.partitionBy("fold", "score")) - 1) / 2)
+    pos, neg = F.count_if(F.col(spec.LABEL) == 1), F.count_if(F.col(spec.LABEL) == 0)
+    ranks = F.sum(F.when(F.col(spec.LABEL) == 1, F.col("r")))
+    own = ties.groupBy("fold").agg(
+        F.count("*").alias("row_count"), pos.alias("positives"), ((ranks - pos * (pos + 1) / 2) / (pos * neg)).alias("auc")
     )
+    every = Window.partitionBy()
+    near = lambda a, b: F.abs(a - b) < 0.0001
+    joined = own.join(_cv_scores(spark, sf_dir), "fold")
+    fits = near(F.col("auc"), F.col("roc_auc")) & near(F.avg("auc").over(every), F.col("mean_roc_auc"))
+    fits = fits & near(F.stddev_pop("auc").over(every), F.col("sd_roc_auc")) & F.col("auc").between(0.5, 1)
+    return joined.select("fold", "row_count", "positives", F.coalesce(fits, F.lit(False)).alias("fits"))
 
 
 def _explained_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,9 +353,16 @@ def _importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies, and those whose fields do not fit the probability beside them."""
-    replies = scoring.reply(_forest_scored(spark, sf_dir).withColumn("raw", F.col("probability")), key="raw")
-    p = F.col("raw")
+    """Replies, those whose fields do not fit the probability beside them, and those whose
+    probability is not that of a walk through the saved nodes."""
+    model, record = fitted_forest(spark, sf_dir)
+    rows = feats.engineer(clean_table(spark, sf_dir), record["charge_cuts"])
+    last = model.stages[-1]
+    nodes = written_table(spark, sf_dir, "nodes", lambda: forest.node_table(spark, f"{_forest_path(spark, sf_dir)}/pipeline"))
+    walked = forest.walk(forest.encode(model, rows), nodes, last.getNumTrees, last.getMaxDepth())
+    scored = forest.predict(model, rows).join(walked, spec.KEY, "left")
+    replies = scoring.reply(scored.withColumn("raw", F.struct("probability", "walked")), key="raw")
+    p, walk = F.col("raw.probability"), F.col("raw.walked")
     tier = F.element_at(F.array(*map(F.lit, ("Low", "Medium", "High", "Critical"))), sum((p >= x).cast("int") for x in (0.3, 0.5, 0.7)) + 1)
     fits = (
         p.between(0, 1)
@@ -348,7 +372,8 @@ def _score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         & (F.col("risk_tier") == tier)
         & ((F.col("action_code") == "low_risk") == (p < 0.3))
     )
-    return replies.agg(F.count("*").alias("row_count"), F.count_if(~F.coalesce(fits, F.lit(False))).alias("rows_off"))
+    off = lambda test: F.count_if(~F.coalesce(test, F.lit(False)))
+    return replies.agg(F.count("*").alias("row_count"), off(fits).alias("rows_off"), off(F.abs(p - walk) < 1e-9).alias("scores_off"))
 
 
 def _stream_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "holdfast", warehouse: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", parallelism)
         .config("spark.sql.session.timeZone", "UTC")

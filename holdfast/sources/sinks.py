@@ -12,7 +12,7 @@ from holdfast.operators.forest import encoded_names
 RUN_LOG_SCHEMA = "completed_at string, status string, total_customers bigint, churn_rate double, roc_auc double"
 FEATURE_SPEC_SCHEMA = (
     "all_features array<string>, numerical_features array<string>, categorical_features array<string>, "
-    "encoded_features array<string>, charge_cuts array<double>, version string"
+    "encoded_features array<string>, charge_cuts array<double>, version string, partitions int"
 )
 
 
@@ -38,12 +38,15 @@ def save_text(lines: DataFrame, path: str, order: str = "line_no", text: str = "
     lines.coalesce(1).sortWithinPartitions(order).select(text).write.mode("overwrite").text(path)
 
 
-def save_model(spark: SparkSession, model: PipelineModel, path: str, charge_cuts: list[float] | None = None) -> None:
-    """The pipeline and, next to it, the feature lists and charge cut points it was trained with."""
+def save_model(
+    spark: SparkSession, model: PipelineModel, path: str, charge_cuts: list[float] | None = None, partitions: int | None = None
+) -> None:
+    """The pipeline and, next to it, the feature lists, charge cut points and number of partitions it
+    was trained with."""
     model.write().overwrite().save(f"{path}/pipeline")
     row = (
         spec.FEATURES, spec.NUMERIC_FEATURES, spec.CATEGORICAL_FEATURES, encoded_names(model), charge_cuts or [],
-        spec.MODEL_VERSION,
+        spec.MODEL_VERSION, partitions,
     )
     save_json(spark.createDataFrame([row], FEATURE_SPEC_SCHEMA).coalesce(1), f"{path}/features")
 
