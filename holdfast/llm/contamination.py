@@ -1,213 +1,291 @@
-"""Benchmark contamination by a positional inverted index over segments of documents."""
+"""Benchmark contamination by a stored positional inverted index of the documents.
+
+The index holds, segment by segment, the terms of about SEGMENT_BYTES of text, how often each
+occurs and where. Term counts come from it, each window of a benchmark item is sent by its rarest
+term to the segments that hold this term, and there the lists of its terms are intersected, rarest
+first, shifted by their place in the window.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from holdfast.llm.arrays import ALNUM, ragged, split, text_blocks, word_array
+from holdfast.llm.arrays import ALNUM, blocks, ragged, split, text_blocks, utf8, word_array
 from holdfast.llm.tables import texts, written
 
 WINDOW = 13
-#: Bytes of item text whose windows travel to the tasks at once; more items take more passes.
-ITEM_BYTES = 8 << 20
 #: Words a term of a proximity match may stand off its place.
 SLOP = 2
+#: Text of an index segment, about.
+SEGMENT_BYTES = 4 << 20
+#: Windows looked for in a segment at once; more come in further rows.
+BUCKET_WINDOWS = 1 << 16
 
-@dataclass
-class Phrases:
-    """Distinct windows of a block of items, by length, and the items each belongs to."""
-
-    terms: pa.LargeBinaryArray
-    by_length: dict[int, np.ndarray] = field(default_factory=dict)
-    owners: dict[int, list[list[str]]] = field(default_factory=dict)
-
-
-def phrases(items: list[tuple[str, bytes]], window: int = WINDOW) -> Phrases:
-    words = split([t for _, t in items], ALNUM, lower=True)
-    spelt = word_array(words).dictionary_encode()
-    codes = spelt.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    out = Phrases(spelt.dictionary)
-    found: dict[bytes, set[str]] = {}
-    for i, (name, _) in enumerate(items):
-        own = codes[words.first[i] : words.first[i + 1]]
-        length = min(window, len(own))
-        for at in range(len(own) - length + 1 if length else 0):
-            found.setdefault(own[at : at + length].tobytes(), set()).add(name)
-    for length in sorted({len(k) // 8 for k in found}):
-        keys = [k for k in found if len(k) == 8 * length]
-        out.by_length[length] = np.frombuffer(b"".join(keys), np.int64).reshape(-1, length)
-        out.owners[length] = [sorted(found[k]) for k in keys]
-    return out
-
-
-@dataclass
-class Segment:
-    """Postings of the query terms in some documents: (term, position), sorted.
 
-    Positions number the words through; documents lie ``gap`` apart, so no phrase joins two.
+def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
+    """One row a segment: its documents (doc_id, text hash, number of words) and its postings.
+
+    ``terms`` are the distinct words, ``counts`` their occurrences, ``places`` the word numbers of
+    the first term, then of the second, ..., as 32-bit integers; words are numbered through the
+    segment's documents. Nothing is shuffled: a segment is text that one task reads.
     """
 
-    keys: np.ndarray
-    counts: np.ndarray
-    begins: np.ndarray
-    span: int
-    words_first: np.ndarray
-    gap: int
-
-    @staticmethod
-    def build(docs: list[bytes], terms: pa.LargeBinaryArray, gap: int) -> Segment:
-        words = split(docs, ALNUM, lower=True)
-        span = len(words) + gap * (len(docs) + 2)
-        if not len(terms):
-            return Segment(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), span, words.first, gap)
-        term = pc.fill_null(pc.index_in(word_array(words), value_set=terms), -1).to_numpy(zero_copy_only=False)
-        held = np.flatnonzero(term >= 0)
-        place = held + gap * (np.searchsorted(words.first, held, side="right"))
-        keys = np.sort(term[held].astype(np.int64) * span + place)
-        begins = np.searchsorted(keys, np.arange(len(terms) + 1, dtype=np.int64) * span)
-        return Segment(keys, np.diff(begins), begins, span, words.first, gap)
-
-    def matches(self, windows: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """Window numbers and start positions where every term stands within ``slop`` of its place.
-
-        The rarest term's list gives the candidates; the others, rarest first, thin them out.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for lo, hi in blocks(sizes, size=lambda n: n, limit=segment_bytes):
+                part = batch.slice(lo, hi - lo)
+                words = split(utf8(part.column(1)), ALNUM, lower=True)
+                spelt = word_array(words).dictionary_encode()
+                codes = spelt.indices.to_numpy(zero_copy_only=False)
+                counts = np.bincount(codes, minlength=len(spelt.dictionary)).astype(np.int32)
+                places = np.argsort(codes, kind="stable").astype("<i4")
+                one = lambda values, kind: pa.array([values], pa.list_(kind))
+                columns = [
+                    one(part.column(0), pa.int64()), one(part.column(2), pa.int64()), one(np.diff(words.first), pa.int64()),
+                    one(spelt.dictionary.cast(pa.binary()), pa.binary()), one(counts, pa.int32()), pa.array([places.tobytes()], pa.binary()),
+                ]
+                yield pa.record_batch(columns, names=["doc_ids", "hashes", "n_words", "terms", "counts", "places"])
+
+    rows = texts(docs).withColumn("th", F.xxhash64("text")).mapInArrow(
+        run, "doc_ids array<long>, hashes array<long>, n_words array<long>, terms array<binary>, counts array<int>, places binary"
+    )
+    return written(rows.withColumn("segment", F.monotonically_increasing_id()), "postings")
+
+
+def documents(index: DataFrame) -> DataFrame:
+    """segment, slot, doc_id, text hash (``th``) and n_words of every document of the index."""
+    each = F.posexplode(F.arrays_zip(F.col("doc_ids"), F.col("hashes"), F.col("n_words"))).alias("slot", "d")
+    return index.select("segment", each).select(
+        "segment", "slot", F.col("d.doc_ids").alias("doc_id"), F.col("d.hashes").alias("th"), F.col("d.n_words").alias("n_words")
+    )
+
+
+def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """item and phrase (words joined by a blank) of each window of each item; an item of fewer
+    words, but not none, is one window. Null item_id: an item with an empty id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            for lo, hi, data in text_blocks(batch.column(1)):
+                words = split(data, ALNUM, lower=True)
+                spelt = word_array(words).to_pylist()
+                found = []
+                for i in range(hi - lo):
+                    own = spelt[words.first[i] : words.first[i + 1]]
+                    n = min(window, len(own))
+                    found += [(names[lo + i], b" ".join(own[at : at + n])) for at in range(len(own) - n + 1 if n else 0)]
+                columns = zip(*found) if found else ((), ())
+                yield pa.record_batch([pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.binary()))], names=["item", "phrase"])
+
+    named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
+    return named.mapInArrow(run, "item string, phrase binary").distinct()
+
+
+def _terms(phrase: str = "phrase") -> Column:
+    """Words of a phrase; none of their bytes is a blank."""
+    return F.split(F.decode(phrase, "ISO-8859-1"), " ")
+
+
+def _ranked(windows: DataFrame, index: DataFrame) -> DataFrame:
+    """w, phrase, rarest term and the places of the terms in the phrase, rarest first (``ranks``), of
+    windows whose terms the index holds; how rare a term is is counted over the whole index."""
+    words = windows.select("w", F.posexplode(_terms()).alias("place", "term"))
+    wanted = words.select("term").distinct()
+    held = index.select(F.inline(F.arrays_zip(F.col("terms"), F.col("counts"))))
+    held = held.select(F.decode("terms", "ISO-8859-1").alias("term"), "counts")
+    counts = held.join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("counts").alias("n"))
+    order = F.sort_array(F.collect_list(F.struct("n", "place", "term"))).alias("order")
+    ranked = words.join(counts, "term").groupBy("w").agg(order)
+    ranked = ranked.join(windows, "w").filter(F.size("order") == F.size(_terms()))
+    return ranked.select("w", "phrase", F.col("order")[0]["term"].alias("rarest"), F.col("order.place").alias("ranks"))
+
+
+def _routed(ranked: DataFrame, index: DataFrame, bucket_windows: int) -> DataFrame:
+    """For each segment the windows whose rarest term it holds, in rows of bounded size."""
+    buckets = -(-ranked.count() // bucket_windows)
+    held = index.select("segment", F.explode("terms").alias("term")).select("segment", F.decode("term", "ISO-8859-1").alias("term"))
+    pairs = held.join(ranked, F.col("term") == F.col("rarest")).select("segment", "w", "phrase", "ranks")
+    return pairs.groupBy("segment", F.pmod("w", F.lit(max(1, buckets))).alias("bucket")).agg(
+        F.collect_list("w").alias("ws"), F.collect_list("phrase").alias("phrases"), F.collect_list("ranks").alias("ranks")
+    )
+
+
+class Segment:
+    """Postings of one segment. Places are the stored word numbers, with a gap between documents, so
+    that no phrase joins two."""
+
+    def __init__(self, terms: pa.Array, counts: np.ndarray, places: np.ndarray, n_words: np.ndarray, gap: int):
+        self.terms, self.gap = terms, gap
+        self.first = np.concatenate([[0], np.cumsum(n_words)])
+        self.begins = np.concatenate([[0], np.cumsum(counts)])
+        self.span = int(self.first[-1]) + gap * (len(n_words) + 2)
+        spread = places + gap * np.searchsorted(self.first, places, side="right")
+        self.keys = np.repeat(np.arange(len(counts), dtype=np.int64), counts) * self.span + spread
+
+    def matches(self, windows: np.ndarray, ranks: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Window numbers and start places where every term stands within ``slop`` of its place.
+
+        ``windows`` has the numbers of the terms, ``ranks`` their places, rarest first. The list of
+        the rarest term gives the candidates; the others, rarest first, thin them out.
         """
-        counts = self.counts[windows]
-        alive = np.flatnonzero(counts.min(axis=1) > 0)
-        order = np.argsort(counts[alive], axis=1, kind="stable")
-        anchor = windows[alive, order[:, 0]]
-        n = self.counts[anchor]
-        who = np.repeat(np.arange(len(alive)), n)
-        at = self.keys[ragged(self.begins[anchor], n)] - np.repeat(anchor.astype(np.int64) * self.span, n)
-        starts = at - order[who, 0]
-        for k in range(1, windows.shape[1]):
-            offset = order[who, k]
-            term = windows[alive[who], offset].astype(np.int64)
-            low = term * self.span + starts + offset - slop
+        rows = np.arange(len(windows))
+        anchor = windows[rows, ranks[:, 0]]
+        n = self.begins[anchor + 1] - self.begins[anchor]
+        who = np.repeat(rows, n)
+        starts = self.keys[ragged(self.begins[anchor], n)] - windows[who, ranks[who, 0]] * self.span - ranks[who, 0]
+        if slop:
+            shifts = np.arange(-slop, slop + 1)
+            who, starts = np.repeat(who, len(shifts)), (starts[:, None] + shifts).ravel()
+        for k in range(0 if slop else 1, windows.shape[1]):
+            place = ranks[who, k]
+            low = windows[who, place] * self.span + starts + place - slop
             hit = np.searchsorted(self.keys, low)
             ok = hit < len(self.keys)
             ok[ok] = self.keys[hit[ok]] <= low[ok] + 2 * slop
             who, starts = who[ok], starts[ok]
-        return alive[who], starts
+        return who, starts
 
-    def document(self, places: np.ndarray) -> np.ndarray:
-        """Document of each position."""
-        begins = self.words_first[:-1] + self.gap * (1 + np.arange(len(self.words_first) - 1))
+    def slot(self, places: np.ndarray) -> np.ndarray:
+        """Document of each place."""
+        begins = self.first[:-1] + self.gap * (1 + np.arange(len(self.first) - 1))
         return np.searchsorted(begins, places, side="right") - 1
 
 
-def _search(docs: list[bytes], wanted: Phrases, window: int, slop: int) -> tuple[np.ndarray, list, list, np.ndarray]:
-    """Word marks (1: inside an exact match), items matched exactly and nearly, word ranges."""
-    segment = Segment.build(docs, wanted.terms, gap=window + slop + 1)
-    change = np.zeros(segment.span + window + 1, np.int32)
-    exact: list[set[str]] = [set() for _ in docs]
-    near: list[set[str]] = [set() for _ in docs]
-    for length, windows in wanted.by_length.items():
-        owners = wanted.owners[length]
-        for reach, into in ((0, exact), (slop, near)) if slop else ((0, exact),):
-            which, starts = segment.matches(windows, reach)
-            if not reach:
-                np.add.at(change, starts, 1)
-                np.add.at(change, starts + length, -1)
-            pairs = np.unique(segment.document(starts + (length - 1) // 2) * len(windows) + which)
-            for pair in pairs.tolist():
-                into[pair // len(windows)].update(owners[pair % len(windows)])
-    first = segment.words_first
-    places = np.arange(first[-1]) + segment.gap * np.repeat(np.arange(1, len(docs) + 1), np.diff(first))
-    return np.cumsum(change)[places] > 0, exact, near, first
-
-
-def _item_blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[str, bytes]]]:
-    block, size = [], 0
-    named = items.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")
+def _found(segment: Segment, phrases: list[bytes], ranks: list[list[int]], slop: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(slot, window, start, words, exact) arrays of the matches, for windows of one length at a time."""
+    words = [p.split(b" ") for p in phrases]
+    lengths = np.array([len(w) for w in words])
+    for n in np.unique(lengths).tolist():
+        own = np.flatnonzero(lengths == n)
+        flat = pa.array([t for i in own.tolist() for t in words[i]], pa.binary())
+        codes = pc.fill_null(pc.index_in(flat, value_set=segment.terms), -1).to_numpy(zero_copy_only=False).reshape(-1, n).astype(np.int64)
+        here = np.flatnonzero((codes >= 0).all(axis=1))
+        order = np.array([ranks[i] for i in own[here].tolist()], np.int64).reshape(-1, n)
+        for reach in (0, slop) if slop else (0,):
+            who, starts = segment.matches(codes[here], order, reach)
+            slot = segment.slot(starts + segment.gap // 2)
+            yield slot, own[here][who], starts - segment.first[slot] - segment.gap * (slot + 1), n, reach == 0
+
+
+def _merged(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
+    """The intervals, overlapping ones as one."""
+    order = np.argsort(starts, kind="stable")
+    starts, upto = starts[order], np.maximum.accumulate(ends[order])
+    new = np.append(True, starts[1:] > upto[:-1])
+    return list(zip(starts[new].tolist(), upto[np.append(new[1:], True)].tolist()))
+
+
+def matches(index: DataFrame, routed: DataFrame, slop: int = 0) -> DataFrame:
+    """segment, slot, the word intervals inside exact matches, the windows matched exactly (``ws``) and
+    those with a proximity match (``near``), of documents that have any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                number, n_words, terms, counts, places, ws, phrases, ranks = (c[i] for c in batch.columns)
+                ws, phrases = np.array(ws.as_py()), phrases.as_py()
+                widest = max(len(p.split(b" ")) for p in phrases)
+                segment = Segment(
+                    terms.values, counts.values.to_numpy(), np.frombuffer(places.as_py(), "<i4").astype(np.int64),
+                    n_words.values.to_numpy(), widest + 2 * slop + 2,
+                )
+                rows: dict[int, tuple[list, list, set, set]] = {}
+                for slot, who, starts, n, exact in _found(segment, phrases, ranks.as_py(), slop):
+                    order = np.argsort(slot, kind="stable")
+                    slot, who, starts = slot[order], who[order], starts[order]
+                    cuts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, int)
+                    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(slot)]):
+                        begins, ends, held, near = rows.setdefault(int(slot[a]), ([], [], set(), set()))
+                        (held if exact else near).update(ws[who[a:b]].tolist())
+                        if exact:
+                            begins.append(starts[a:b])
+                            ends.append(starts[a:b] + n)
+                made = [
+                    (number.as_py(), slot, _merged(np.concatenate(begins), np.concatenate(ends)) if begins else [], sorted(held), sorted(near))
+                    for slot, (begins, ends, held, near) in sorted(rows.items())
+                ]
+                if made:
+                    kinds = (pa.int64(), pa.int32(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                    columns = [list(c) for c in zip(*made)]
+                    columns[2] = [[{"a": a, "b": b} for a, b in x] for x in columns[2]]
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["segment", "slot", "spans", "ws", "near"])
+
+    wanted = routed.withColumnRenamed("segment", "s")
+    joined = index.join(wanted, F.col("segment") == F.col("s")).select("segment", "n_words", "terms", "counts", "places", "ws", "phrases", "ranks")
+    return joined.mapInArrow(run, "segment long, slot int, spans array<struct<a: long, b: long>>, ws array<long>, near array<long>")
+
+
+def _union_length(spans: Column) -> Column:
+    """Words inside any of the intervals."""
+    state = lambda n, upto: F.struct(n.alias("n"), upto.alias("upto"))
+    step = lambda s, x: state(
+        s["n"] + F.greatest(F.lit(0).cast("long"), x["b"] - F.greatest(x["a"], s["upto"])), F.greatest(s["upto"], x["b"])
     )
-    for name, text in named.toLocalIterator():
-        data = (text or "").encode()
-        if block and size + len(data) > limit:
-            yield block
-            block, size = [], 0
-        block.append((name, data))
-        size += len(data)
-    yield block
+    zero = F.lit(0).cast("long")
+    return F.aggregate(F.array_sort(spans), state(zero, zero), step, lambda s: s["n"])
 
 
 def search(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, item_bytes: int = ITEM_BYTES,
-    key: Column | None = None,
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, segment_bytes: int = SEGMENT_BYTES,
+    bucket_windows: int = BUCKET_WINDOWS,
 ) -> DataFrame:
-    """Every row with its word count, the marks of its words hit (``hits``, a bit each, null
-    without any), their number, the items matched exactly (``item_ids``) and those whose terms
-    all stand within ``slop`` words of their place (``near_ids``; empty for a slop of 0).
-
-    Each segment of documents has its own postings of the query terms (memory bounded by the
-    segment), so nothing is shuffled and a phrase found in most documents skews no task.
-    ``key`` is carried as doc_id. Items come in blocks of bounded size, one pass for each. Null or empty texts and items have no
-    words. Items that share an id are one item. Repeated rows stay; empty tables give no rows
-    or no hits.
+    """Every row by doc_id and text hash (``th``), with its word count, the words hit (``n_hit``, inside
+    an exact match), their intervals (``spans``), the items matched exactly (``item_ids``) and those with
+    a window whose terms all stand within ``slop`` words of their places (``near_ids``; empty for a slop
+    of 0).
+
+    The postings are a written table; a lost executor costs no more than its own tasks. Windows go to
+    segments by Spark's joins, which broadcast only what their size checks allow. Null or empty texts
+    and items have no words. Items that share an id are one item. Null doc_id and repeated rows stay;
+    empty tables give no rows or no hits.
     """
-    found = texts(docs, key).selectExpr(
-        "doc_id", "text", "0L AS n_words", "0L AS n_hit", "CAST(NULL AS BINARY) AS hits",
-        "CAST(array() AS array<string>) AS item_ids", "CAST(array() AS array<string>) AS near_ids",
+    index = build_index(docs, segment_bytes)
+    phrases = written(item_windows(items, window), "item-phrases")
+    windows = written(phrases.select("phrase").distinct().withColumn("w", F.monotonically_increasing_id()), "item-windows")
+    owners = phrases.join(windows, "phrase").select("w", "item")
+    ranked = written(_ranked(windows, index), "ranked-windows")
+    found = written(matches(index, _routed(ranked, index, bucket_windows), slop), "phrase-matches")
+
+    spans = found.groupBy("segment", "slot").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    hits = spans.select(F.col("segment").alias("s"), F.col("slot").alias("p"), "spans", _union_length(F.col("spans")).alias("n_hit"))
+
+    def named(column: str, out: str) -> DataFrame:
+        each = found.select("segment", "slot", F.explode(column).alias("w")).join(owners, "w").select("segment", "slot", "item").distinct()
+        return each.groupBy(F.col("segment").alias(f"{out}_s"), F.col("slot").alias(f"{out}_p")).agg(F.array_sort(F.collect_list("item")).alias(out))
+
+    rows = documents(index).join(hits, (F.col("segment") == F.col("s")) & (F.col("slot") == F.col("p")), "left")
+    for column, out in (("ws", "item_ids"), ("near", "near_ids")) if slop else (("ws", "item_ids"),):
+        rows = rows.join(named(column, out), (F.col("segment") == F.col(f"{out}_s")) & (F.col("slot") == F.col(f"{out}_p")), "left")
+    none = F.array().cast("array<string>")
+    ids = lambda c: F.coalesce(F.col(c), none).alias(c)
+    return rows.select(
+        "doc_id", "th", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), "spans", ids("item_ids"),
+        ids("near_ids") if slop else none.alias("near_ids"),
     )
-    schema = found.schema
-    wanted = _item_blocks(items, item_bytes)
-    block = next(wanted)
-    while block is not None:
-        after = next(wanted, None)
-        if after is None:
-            found = found.mapInArrow(_pass(phrases(block, window), window, slop, False), _without_text(schema))
-        else:
-            found = written(found.mapInArrow(_pass(phrases(block, window), window, slop, True), schema), "searched")
-        block = after
-    return found
-
-
-def _without_text(schema: StructType) -> StructType:
-    return StructType([f for f in schema if f.name != "text"])
-
-
-def _pass(wanted: Phrases, window: int, slop: int, keep_text: bool):
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.string()))
-    names = ["n_words", "n_hit", "hits", "item_ids", "near_ids"]
-
-    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        before = batch.select(["hits", "item_ids", "near_ids"]).to_pydict()
-        for lo, hi, data in text_blocks(batch.column(1)):
-            marks, exact, near, first = _search(data, wanted, window, slop)
-            for i in range(hi - lo):
-                own = marks[first[i] : first[i + 1]]
-                if earlier := before["hits"][lo + i]:
-                    own = own | np.unpackbits(np.frombuffer(earlier, np.uint8), count=len(own)).astype(bool)
-                yield (
-                    len(own), int(own.sum()), np.packbits(own).tobytes() if own.any() else None,
-                    sorted(exact[i].union(before["item_ids"][lo + i])),
-                    sorted(near[i].union(before["near_ids"][lo + i])),
-                )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [pa.array(x, t) for x, t in zip(zip(*rows(batch)), kinds)] if len(batch) else [pa.array([], t) for t in kinds]
-            kept = ["doc_id", "text"] if keep_text else ["doc_id"]
-            yield pa.record_batch([*(batch.column(c) for c in kept), *made], names=[*kept, *names])
-
-    return run
 
 
 def contamination(docs: DataFrame, items: DataFrame, share: int = 20, **settings) -> DataFrame:
     """Counts and verdict of every row by exact matches: contaminated from one hit word in
-    ``share`` on."""
+    ``share`` on. The cases are those of ``search``."""
     return search(docs, items, slop=0, **settings).select(
-        "doc_id", "n_words", "n_hit",
+        "doc_id", "th", "n_words", "n_hit",
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
+    """Rows that are not contaminated, with all their columns. Rows of one doc_id and text have one
+    verdict, so the contaminated ones, by these two, take them out."""
+    bad = contamination(docs, items, **settings).filter("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("th").alias("bad_th")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64(F.col("text").cast("string")).alias("th"))
+    return rows.join(bad, F.col("key").eqNullSafe(F.col("bad_id")) & (F.col("th") == F.col("bad_th")), "left_anti").select("row.*")

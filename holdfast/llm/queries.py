@@ -28,7 +28,7 @@ def op2_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return contamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("th")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

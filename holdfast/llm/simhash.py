@@ -131,12 +131,16 @@ def distinct(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS, seed: int = SEED
 ) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest doc_id (a null one
-    last), of the smallest text hash among rows that share it, and one of equal rows."""
+    last), of the smallest text hash among rows that share it, and of the smallest hash of the whole
+    row among those with equal id and text."""
     marked, roots = _grouped(docs, shingle, distance, blocks, seed)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("th").alias("hash"))
-    first = marked.join(roots, F.col("print") == F.col("p")).groupBy("root").agg(F.min(order).alias("o")).select("o.id", "o.hash")
+    # copies are counted out before the join: a print is one row there
+    heads = marked.groupBy("print").agg(F.min(order).alias("o"))
+    first = heads.join(roots, F.col("print") == F.col("p")).groupBy("root").agg(F.min("o").alias("o")).select("o.id", "o.hash")
     rows = docs.select(
         F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64(F.col("text").cast("string")).alias("th")
     )
     kept = rows.join(first, F.col("key").eqNullSafe(F.col("id")) & (F.col("th") == F.col("hash")), "left_semi")
-    return kept.dropDuplicates(["key", "th"]).select("row.*")
+    one = kept.groupBy("key", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*")

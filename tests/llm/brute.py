@@ -21,6 +21,24 @@ def sha(data):
     return hashlib.sha256(data).hexdigest()
 
 
+def words(text):
+    return re.findall(ALNUM, ascii_lower(text))
+
+
+def near_items(text, items, window, slop):
+    """Items with a window whose words all stand within ``slop`` of their places from some start."""
+    own = words(text)
+    found = set()
+    for item, wanted in items:
+        w = words(wanted)
+        n = min(window, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            for start in range(-slop - n, len(own) + slop + 1):
+                if all(w[i + k] in own[max(0, start + k - slop) : max(0, start + k + slop + 1)] for k in range(n)):
+                    found.add(str(item))
+    return sorted(found)
+
+
 def contaminated(docs, items, window=13):
     words = lambda t: re.findall(ALNUM, ascii_lower(t))
     wanted = {}

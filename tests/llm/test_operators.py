@@ -156,10 +156,10 @@ def test_codes(top, n):
 ITEMS = [(1, " ".join(f"Word{i}" for i in range(3, 20))), (2, "quick brown fox"), (10, "Quick BROWN-fox!"), (3, None), (4, ""), (None, "nul"), (2, "中文"), (11, MORSE[1024]), (12, f"{ESROM[2048]} {TWELVE}")]
 
 
-@pytest.mark.parametrize("item_bytes", [8 << 20, 30])
-def test_contamination(spark, docs, empty, item_bytes):
+@pytest.mark.parametrize("settings", [{}, {"segment_bytes": 300, "bucket_windows": 3}])
+def test_contamination(spark, docs, empty, settings):
     items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("hits", F.lit(1))
-    got = rows_of(contamination.contamination(docs, items, item_bytes=item_bytes))
+    got = rows_of(contamination.contamination(docs, items, **settings).drop("th"))
     assert got == order(brute.contaminated(ROWS, ITEMS))
     assert contamination.contamination(empty, items).count() == 0
     none = contamination.contamination(docs, items.limit(0))
@@ -173,6 +173,34 @@ def test_proximity(spark):
     assert got == {1: ([], ["9"]), 2: (["9"], ["9"]), 3: ([], [])}
 
 
+def test_proximity_equals_brute_force(spark):
+    rng = random.Random(12)
+    docs = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 60)))) for i in range(40)]
+    items = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 6)))) for i in range(30)]
+    for slop in (1, 2):
+        got = contamination.search(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"), 4, slop, 100, 7).collect()
+        assert {r.doc_id: (r.item_ids, r.near_ids) for r in got} == {
+            d: (brute.near_items(t, items, 4, 0), brute.near_items(t, items, 4, slop)) for d, t in docs
+        }
+
+
+def test_postings_are_stored(spark, docs):
+    index = contamination.build_index(docs, 500)
+    row = index.orderBy(F.desc(F.size("terms"))).first()
+    places = np.frombuffer(row.places, "<i4")
+    assert sum(row.counts) == len(places) == sum(row.n_words) and index.count() > 3
+    assert contamination.documents(index).count() == len(ROWS)
+    by_term = dict(zip(row.terms, np.split(places, np.cumsum(row.counts)[:-1])))
+    assert all((np.diff(p) > 0).all() for p in by_term.values())
+
+
+def test_clean_keeps_rows_and_columns(spark, docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    bad = order((d, n) for d, n, *_, c in brute.contaminated(ROWS, ITEMS) if not c)
+    got = contamination.clean(docs, items)
+    assert got.columns == docs.columns and order((r.doc_id, len(brute.words(r.text))) for r in got.collect()) == bad
+
+
 def test_simhash(spark, docs, empty):
     assert rows_of(simhash.near_duplicates(docs)) == order(brute.near(ROWS))
     assert simhash.near_duplicates(empty).count() == 0
