@@ -32,8 +32,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that are not contaminated by a benchmark item."""
-    found = contamination.contamination(docs, read(spark, sf_dir, "benchmark"), key=F.struct("*"))
-    return found.filter(~F.col("contaminated")).select("doc_id.*")
+    return contamination.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
