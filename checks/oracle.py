@@ -480,6 +480,27 @@ SQL["ingest_summary"] = using(
 SQL["load_profile"] = using(
     "telco", "SELECT count(*) AS row_count, CAST(30 AS BIGINT) AS column_count, avg(churn_flag) AS churn_rate FROM telco"
 )
+SQL["built_models"] = """SELECT CAST(place AS INTEGER) AS place, model, 'built' AS first_build, 'unchanged' AS second_build FROM (VALUES
+  (0, 'customers'), (1, 'stg_customers'), (2, 'mart_churn_kpis'), (3, 'mart_churn_by_segment'), (4, 'mart_customer_risk')) AS t(place, model)"""
+_NUMBER = 'CAST(substr("customerID", 2) AS BIGINT)'
+SQL["csv_load"] = using(
+    "raw",
+    f"SELECT count(*) AS lines, count(*) FILTER ({_NUMBER} % 97 <> 0 AND {_NUMBER} % 101 <> 0) AS accepted, "
+    f"count(*) FILTER ({_NUMBER} % 97 <> 0 AND {_NUMBER} % 101 = 0) AS rejected, count(*) FILTER ({_NUMBER} % 97 = 0) AS malformed, "
+    f"count(*) FILTER ({_NUMBER} % 97 <> 0 AND {_NUMBER} % 101 <> 0) AS table_rows FROM raw",
+)
+_CLEAN_SUMS = (
+    "count(*) AS row_count, CAST(sum(churn_flag) AS BIGINT) AS churned, CAST(sum(CAST(round(monthly_charges * 100) AS BIGINT)) AS BIGINT) AS cents"
+)
+SQL["clean_files"] = using(
+    "telco", f"SELECT 'parquet' AS format, {_CLEAN_SUMS} FROM telco UNION ALL SELECT 'csv', {_CLEAN_SUMS} FROM telco"
+)
+SQL["report_file"] = SQL["churn_by_contract"]
+SQL["run_log"] = using(
+    "clean",
+    "SELECT run_id, 'success' AS status, total_customers, churn_rate, roc_auc, TRUE AS stamped FROM (VALUES ('night', 0.84::DOUBLE), ('day', NULL)) "
+    "AS t(run_id, roc_auc), (SELECT count(*) AS total_customers, avg(churn_flag) AS churn_rate FROM clean)",
+)
 SQL["model_row_counts"] = using(
     "by_segment",
     "SELECT 'stg_customers' AS model, count(*) AS row_count, 'built' AS status FROM telco "
@@ -676,6 +697,11 @@ define(
     "graded",
 )
 SQL["score_output"] = using("replies", "SELECT * FROM replies")
+SQL["reply_index"] = using(
+    "replies",
+    "SELECT row_index, customer_id, churn_probability, risk_tier FROM replies JOIN "
+    "(SELECT row_number() OVER () - 1 AS row_index, o_orderkey FROM orders) ON customer_id = 'C' || printf('%08d', o_orderkey)",
+)
 SQL["risk_tier"] = using("replies", "SELECT customer_id, risk_tier FROM replies")
 SQL["recommendation"] = using("replies", "SELECT customer_id, action_code, recommendation FROM replies")
 SQL["score_summary"] = using(
@@ -730,6 +756,12 @@ SQL["driver_report_lines"] = using(
     "CASE direction WHEN 'increases' THEN '↑' ELSE '↓' END || ' ' || feature || ' (impact=' || "
     "regexp_replace(printf('%.4f', impact), '(\\.\\d+?)0+$', '\\1') || ')' FROM drivers",
 )
+SQL["report_text"] = f"SELECT line FROM ({SQL['driver_report_lines']})"
+SQL["insight_rows"] = using(
+    "drivers",
+    "SELECT place, feature, impact, direction, CASE WHEN place <= 5 THEN substr(" + _TITLE("replace(feature, '_', ' ')") + ", 1, 60) || ' ' || direction "
+    "|| ' churn, by ' || regexp_replace(printf('%.4f', impact), '(\\.\\d+?)0+$', '\\1') || ' on average.' END AS sentence FROM drivers",
+)
 SQL["driver_cards"] = using(
     "drivers",
     "SELECT place, substr(" + _TITLE("replace(feature, '_', ' ')") + ", 1, 20) AS card, printf('%.4f', impact) AS impact, "
@@ -781,6 +813,17 @@ SQL["explained_check"] = (
     "SELECT CAST(10 AS BIGINT) AS drivers, CAST(0 AS BIGINT) AS misplaced, TRUE AS ends_at_score, count(*) AS points, "
     "CAST(20 AS BIGINT) AS features FROM orders"
 )
+SQL["model_information"] = (
+    "SELECT 'ok' AS status, TRUE AS model_loaded, 'RandomForestClassificationModel' AS model_type, CAST(25 AS INTEGER) AS feature_count, "
+    f"'{spec.MODEL_VERSION}' AS version"
+)
+SQL["encoded_names"] = using("levels", "SELECT position, feature FROM levels")
+SQL["unseen_category"] = "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS unscored, CAST(0 AS BIGINT) AS codes_set FROM orders"
+SQL["saved_model"] = using(
+    "clean",
+    "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off, quantile_cont(monthly_charges, 0.25) AS q1, "
+    "quantile_cont(monthly_charges, 0.5) AS q2, quantile_cont(monthly_charges, 0.75) AS q3, CAST(25 AS INTEGER) AS features FROM clean",
+)
 SQL["importance_check"] = using(
     "levels", "SELECT count(*) AS features, CAST(0 AS BIGINT) AS negative, CAST(1 AS DOUBLE) AS total FROM levels"
 )

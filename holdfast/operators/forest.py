@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -33,7 +34,7 @@ def pipeline(
     seed: int = spec.SEED,
     max_bins: int = 128,
     label: str = spec.LABEL,
-    memory_mb: int = 1024,
+    memory_mb: int = 256,
 ) -> Pipeline:
     """Scaled numeric and one-hot categorical features into a forest.
 
@@ -87,7 +88,8 @@ class Prepared:
         weight = F.lit(None).cast("double")
         for of_class, rows_of_class in n.items():
             weight = F.when(F.col(self.label) == of_class, sum(n.values()) / (len(n) * rows_of_class)).otherwise(weight)
-        return self.classifier.fit(rows.withColumn(WEIGHT, weight))
+        # a copy leaves the training summary behind, which would travel to the tasks with the model
+        return self.classifier.fit(rows.withColumn(WEIGHT, weight)).copy()
 
     def pipeline(self, forest: RandomForestClassificationModel) -> PipelineModel:
         return PipelineModel([*self.encoder.stages, forest])
@@ -149,13 +151,17 @@ def importances(spark: SparkSession, model: PipelineModel, k: int = 20) -> DataF
     return rows.select("feature", F.col("x").alias("importance")).orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def fold_models(df: DataFrame, stages: Pipeline, fold: str = "fold", label: str = spec.LABEL) -> dict[int, PipelineModel]:
+def fold_models(
+    df: DataFrame, stages: Pipeline, fold: str = "fold", label: str = spec.LABEL, parallelism: int = 3
+) -> dict[int, PipelineModel]:
     """A model for each held-out fold, fitted on the other folds. All are fitted on one encoded
     table; classes are weighted by the rows of each fit. Encoding does not see labels, and what it
     learns from a held-out row (levels no other row has, scale) changes no split of the others."""
     with prepared(df, stages, label, keep=[fold]) as ready:
         numbers = sorted(r[0] for r in ready.rows.select(fold).distinct().collect())
-        return {number: ready.pipeline(ready.fit(F.col(fold) != number)) for number in numbers}
+        fit = inheritable_thread_target(df.sparkSession)(lambda number: ready.fit(F.col(fold) != number))
+        with ThreadPoolExecutor(parallelism) as pool:
+            return {number: ready.pipeline(model) for number, model in zip(numbers, pool.map(fit, numbers))}
 
 
 def held_out_scores(
@@ -204,7 +210,7 @@ def walk(encoded: DataFrame, nodes: DataFrame, trees: int, depth: int, key: str
     for each level, then the mean share of the leaves. Spark broadcasts the nodes if they are few."""
     steps = encoded.select(key, "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("t"))
     steps = steps.select(key, "x", F.shiftleft(F.col("t").cast("long"), 32).alias("at"))
-    inner = nodes.select("node", "below", "above", "feature", "threshold")
+    inner = nodes.select("node", "below", "above", "feature", "threshold")  # one broadcast serves all levels
     for _ in range(depth):
         joined = steps.join(inner, F.col("at") == F.col("node"))
         value = F.col("x")[F.col("feature")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import wraps
 
@@ -17,9 +18,11 @@ from holdfast.operators import features as feats
 from holdfast.plans import dashboards as d
 from holdfast.plans import marts as m
 from holdfast.plans import reports as rep
-from holdfast.session import new_path, written_once, written_table
+from holdfast.plans import catalog
+from holdfast.session import fingerprint, new_path, shared_dir, written_once, written_table
+from holdfast.sources import readers, sinks
 from holdfast.sources.sinks import load_model, save_model
-from holdfast.sources.subscribers import subscribers
+from holdfast.sources.subscribers import customer_key, subscribers
 from holdfast.streaming.scoring import read_batches, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +36,7 @@ def _planned_once(build: Query) -> Query:
 
     @wraps(build)
     def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, build.__name__, sf_dir)
+        key = (spark.sparkContext.applicationId, build.__name__, f"{shared_dir(spark)} {sf_dir} {fingerprint(spark, sf_dir)}")
         if key not in _plans:
             _plans[key] = build(spark, sf_dir)
         return _plans[key]
@@ -66,11 +69,26 @@ def _on(source, build) -> Query:
     return lambda spark, sf_dir: build(source(spark, sf_dir))
 
 
+def _catalog(spark: SparkSession, sf_dir: str) -> catalog.Catalog:
+    """Source table, staging view and marts of an input folder, in a database of its own."""
+    name = f"holdfast_{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
+    return catalog.Catalog(spark, name, m.models(lambda: telco(spark, sf_dir)), inputs=[sf_dir])
+
+
+def _built_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a build and one right after it did with each model; nothing has changed in between."""
+    models = _catalog(spark, sf_dir)
+    models.drop()
+    first, second = models.build(), models.build()
+    rows = [(i, name, first[name], second[name]) for i, name in enumerate(models.order())]
+    return spark.createDataFrame(rows, "place int, model string, first_build string, second_build string")
+
+
 def _model_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = m.stage_view(spark, telco(spark, sf_dir))
-    for name, build in m.MARTS.items():
-        build(stage).createOrReplaceTempView(name)
-    return m.model_row_counts(spark, ["stg_customers", *m.MARTS, "mart_not_built"])
+    models = _catalog(spark, sf_dir)
+    models.build()
+    names = [n for n in models.order() if n != "customers"]
+    return m.model_row_counts(spark, [*names, "mart_not_built"], models.database)
 
 
 def _contract_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,6 +405,110 @@ def _stream_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return off.agg(F.sum("streamed").alias("row_count"), F.count_if(F.col("off") != 0).alias("rows_off"))
 
 
+# Files and records ------------------------------------------------------------------------
+
+
+def _csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts of a load of the raw table from CSV. In the file, every 97th customer has a text for
+    its months and every 101st of the others a negative charge."""
+    number = F.substring("customerID", 2, 20).cast("long")
+    spoilt = subscribers(spark, sf_dir).withColumns(
+        {
+            "tenure": F.when(number % 97 == 0, "many").otherwise(F.col("tenure").cast("string")),
+            "MonthlyCharges": F.when(number % 101 == 0, F.lit(-1.0)).otherwise(F.col("MonthlyCharges")),
+        }
+    )
+    path = written_once(spark, sf_dir, "raw-csv", lambda p: spoilt.write.option("header", True).csv(p))
+    out = new_path(spark, "csv-load")
+    account = readers.load_csv(spark, path, spec.RAW_SCHEMA, out, {"charge": F.col("MonthlyCharges") < 0})
+    table = spark.read.parquet(out).filter("status = 'accepted'").agg(F.count("*").alias("table_rows"))
+    counted = [F.lit(account[c]).cast("long").alias(c) for c in ("lines", "accepted", "rejected", "malformed")]
+    return table.select(*counted, "table_rows")
+
+
+def _reply_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies with the place of their request in the request file."""
+    requests = readers.read_indexed(spark, f"{sf_dir}/orders.parquet").select("row_index", customer_key().alias(spec.KEY))
+    replies = _rule_replies(spark, sf_dir).select(spec.KEY, "churn_probability", "risk_tier")
+    return requests.join(replies, spec.KEY).select("row_index", spec.KEY, "churn_probability", "risk_tier")
+
+
+def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log after a run, its rerun under the same id, and another run."""
+    path = new_path(spark, "run-log")
+    for run, status, auc in (("night", "failed", None), ("night", "success", 0.84), ("day", "success", None)):
+        sinks.log_run(spark, path, status, clean_table(spark, sf_dir), auc, run)
+    log = readers.read_json(spark, path, sinks.run_log_schema())
+    stamped = F.col("completed_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$").alias("stamped")
+    return log.select("run_id", "status", "total_customers", "churn_rate", "roc_auc", stamped)
+
+
+def _clean_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, churned customers and charges in cents of the cleaned table, read back from both formats."""
+    base = new_path(spark, "clean-files")
+    df = telco(spark, sf_dir)
+    sinks.save_clean(df, f"{base}/parquet", f"{base}/csv")
+    cents = F.sum(F.round(F.col("monthly_charges") * 100).cast("long"))
+    one = lambda frame, kind: frame.agg(
+        F.lit(kind).alias("format"), F.count("*").alias("row_count"), F.sum(F.col(spec.LABEL).cast("long")).alias("churned"), cents.alias("cents")
+    )
+    back = spark.read.schema(df.schema)
+    return one(back.parquet(f"{base}/parquet"), "parquet").unionByName(one(back.option("header", True).csv(f"{base}/csv"), "csv"))
+
+
+def _report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, report = new_path(spark, "report"), rep.churn_by_contract(telco(spark, sf_dir))
+    sinks.save_report(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+def _report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "report-text")
+    sinks.save_text(attr.report_lines(_drivers(spark, sf_dir)), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def _insight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drivers and sentences of the insight document, read back from its file."""
+    path, document = new_path(spark, "insights"), attr.insight_document(_drivers(spark, sf_dir))
+    sinks.save_json(document, path)
+    back = readers.read_json(spark, path, document.schema)
+    rows = back.select(F.posexplode("top_churn_drivers").alias("at", "d"), "plain_english_summary")
+    text = F.get(F.col("plain_english_summary"), F.col("at"))
+    return rows.select((F.col("at") + 1).cast("long").alias("place"), "d.feature", "d.impact", "d.direction", text.alias("sentence"))
+
+
+def _encoded_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = forest.encoded_names(fitted_forest(spark, sf_dir)[0])
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position long, feature string")
+
+
+def _unseen_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer with a contract no training row has: rows scored, without a score, and codes of
+    the contract that are not zero."""
+    model, record = fitted_forest(spark, sf_dir)
+    rows = feats.engineer(clean_table(spark, sf_dir), record["charge_cuts"]).withColumn("contract", F.lit("Weekly"))
+    places = [i for i, n in enumerate(forest.encoded_names(model)) if n.startswith("contract_") and n != "contract_risk_score"]
+    coded = forest.encode(model, rows).select(spec.KEY, sum((F.abs(F.col("x")[i]) for i in places), F.lit(0.0)).alias("coded"))
+    joined = forest.predict(model, rows).select(spec.KEY, "probability").join(coded, spec.KEY)
+    return joined.agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("probability").isNull()).alias("unscored"), F.count_if(F.col("coded") != 0).alias("codes_set")
+    )
+
+
+def _saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the saved model, read back, scores otherwise than the fitted one, and the cut points
+    that its record keeps."""
+    model, _ = fitted_forest(spark, sf_dir)
+    loaded, record = load_model(spark, _forest_path(spark, sf_dir))
+    rows = feats.engineer(clean_table(spark, sf_dir), record["charge_cuts"])
+    score = lambda m, name: forest.predict(m, rows, name).select(spec.KEY, name)
+    both = score(model, "a").join(score(loaded, "b"), spec.KEY)
+    cuts = [F.lit(c).alias(f"q{i + 1}") for i, c in enumerate(record["charge_cuts"])]
+    off = F.count_if(F.col("a") != F.col("b")).alias("rows_off")
+    return both.agg(F.count("*").alias("row_count"), off).select("*", *cuts, F.lit(len(record["all_features"])).alias("features"))
+
+
 # Streams ----------------------------------------------------------------------------------
 
 
@@ -430,6 +552,13 @@ QUERIES: dict[str, Query] = {
     "customer_risk": scored,
     "load_profile": _on(telco, m.load_profile),
     "model_row_counts": _model_row_counts,
+    "built_models": _built_models,
+    # files and records
+    "csv_load": _csv_load,
+    "clean_files": _clean_files,
+    "report_file": _report_file,
+    "report_text": _report_text,
+    "run_log": _run_log,
     # reports
     "churn_kpis": _on(telco, rep.churn_kpis),
     "mart_churn_kpis": _on(staged, m.mart_churn_kpis),
@@ -479,6 +608,7 @@ QUERIES: dict[str, Query] = {
     "score_summary": _on(_rule_replies, scoring.summary),
     "highest_score_row": _on(rule_scored, scoring.highest),
     "stream_rule_score": _stream_rule_score,
+    "reply_index": _reply_index,
     # explanation
     "explain_sample": _on(telco, lambda df: stratify.sample(df.select(spec.KEY, *spec.FEATURES))),
     "driver_ranking": _drivers,
@@ -488,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "waterfall_rows": _waterfall,
     "dependence_pairs": lambda spark, sf_dir: attr.dependence(_contributions(spark, sf_dir), telco(spark, sf_dir)),
     "shap_distribution": _on(_contributions, attr.distribution),
+    "insight_rows": _insight_rows,
     # forest
     "train_forest": _train_forest,
     "cv_scores": _cv_scores,
@@ -504,6 +635,10 @@ QUERIES: dict[str, Query] = {
     "explained_check": _explained_check,
     "importance_check": _importance_check,
     "score_check": _score_check,
+    "model_information": lambda spark, sf_dir: forest.model_info(spark, fitted_forest(spark, sf_dir)[0]),
+    "encoded_names": _encoded_names,
+    "unseen_category": _unseen_category,
+    "saved_model": _saved_model,
     "stream_check": _stream_check,
     "stream_score": _stream_score,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -57,11 +58,45 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{base}/holdfast/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _files(spark: SparkSession, path: str):
+    """File system and path object of Hadoop, which open any store that Spark reads."""
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(sc._jsc.hadoopConfiguration()), place
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Digest of path, length and time of every file under a path, from listings alone. A path that
+    is not there has one too. What Spark does not read (names with a dot or underscore) is left out."""
+    files, place = _files(spark, path)
+    found, folders = [], [place] if files.exists(place) else []
+    while folders:
+        for status in files.listStatus(folders.pop()):
+            if status.getPath().getName().startswith((".", "_")):
+                continue
+            if status.isDirectory():
+                folders.append(status.getPath())
+            else:
+                found.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete every table this application wrote to the shared folder; later queries write anew."""
+    base, app = shared_dir(spark), spark.sparkContext.applicationId
+    if base is not None:
+        files, place = _files(spark, f"{base}/holdfast/{app}")
+        files.delete(place, True)
+    for key in [k for k in _written if k[0] == app]:
+        _schemas.pop(_written.pop(key), None)
+
+
 def written_once(
     spark: SparkSession, scope: str, name: str, write: Callable[[str], None]
 ) -> str:
-    """Path of an output that is written at most once per application and scope."""
-    key = (spark.sparkContext.applicationId, scope, name)
+    """Path of an output that is written once per application and state of its input: ``scope`` is
+    the folder of the input, and a file that changes there makes a new output."""
+    key = (spark.sparkContext.applicationId, f"{scope} {fingerprint(spark, scope)}", name)
     if key not in _written:
         path = new_path(spark, name)
         write(path)

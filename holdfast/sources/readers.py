@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
@@ -37,6 +40,41 @@ def read_csv(
     return _open(lambda: reader.csv(path), path, next_step)
 
 
+def load_csv(spark: SparkSession, path: str, schema: StructType, out: str, rules: Mapping[str, Column]) -> dict[str, int]:
+    """Write the rows of a CSV as Parquet, parted by ``status``, and return how many lines there were
+    and how many were accepted, rejected (a rule of ``rules`` holds; ``rule`` names the first) and
+    malformed. The counts are observed while the rows are written; nothing is read twice."""
+    rule = F.lit(None).cast("string")
+    for name, broken in reversed(rules.items()):
+        rule = F.when(broken, F.lit(name)).otherwise(rule)
+    malformed = F.col(CORRUPT).isNotNull()
+    status = F.when(malformed, "malformed").when(F.col("rule").isNotNull(), "rejected").otherwise("accepted")
+    rows = read_csv(spark, path, schema).withColumn("rule", F.when(~malformed, rule)).withColumn("status", status)
+    kinds = ("accepted", "rejected", "malformed")
+    account = Observation("load")
+    rows.observe(
+        account, F.count(F.lit(1)).alias("lines"), *[F.count_if(F.col("status") == kind).alias(kind) for kind in kinds]
+    ).write.mode("overwrite").partitionBy("status").parquet(out)
+    return account.get
+
+
+def read_indexed(spark: SparkSession, path: str, out: str = "row_index") -> DataFrame:
+    """Parquet scan with the number of each row, from 0, in order of file name and place in the file.
+
+    A row's place is what its file says; only the row counts of files are brought together, one
+    line a file on the driver, which lists the files of a scan anyway. No row is moved or sorted.
+    """
+    rows = _open(lambda: spark.read.parquet(path), path, "put the input there first")
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    counts = placed.groupBy("_file").agg((F.max("_place") + 1).alias("n")).collect()
+    before, offsets = 0, []
+    for file, n in sorted(counts):
+        offsets.append((file, before))
+        before += n
+    files = spark.createDataFrame(offsets, "_file string, _before long")
+    return placed.join(files, "_file").select((F.col("_before") + F.col("_place")).alias(out), *rows.columns)
+
+
 def read_table(
     spark: SparkSession,
     path: str,

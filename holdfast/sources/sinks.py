@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from holdfast import spec
 from holdfast.operators.forest import encoded_names
 
-RUN_LOG_SCHEMA = "completed_at string, status string, total_customers bigint, churn_rate double, roc_auc double"
+RUN_LOG_SCHEMA = "completed_at string, status string, total_customers bigint, churn_rate double, roc_auc double, run_id string"
 FEATURE_SPEC_SCHEMA = (
     "all_features array<string>, numerical_features array<string>, categorical_features array<string>, "
     "encoded_features array<string>, charge_cuts array<double>, version string, partitions int"
@@ -57,8 +60,15 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     return model, row.asDict()
 
 
-def log_run(spark: SparkSession, path: str, status: str, clean: DataFrame, roc_auc: float | None) -> None:
-    """Append one line to the run log."""
+def run_log_schema() -> StructType:
+    return StructType.fromDDL(RUN_LOG_SCHEMA)
+
+
+def log_run(
+    spark: SparkSession, path: str, status: str, clean: DataFrame, roc_auc: float | None, run_id: str | None = None
+) -> None:
+    """Write the line of one run to the log. A run that is logged again under its id replaces its
+    line and no other's; without an id it gets a new one."""
     line = clean.agg(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("completed_at"),
         F.lit(status).alias("status"),
@@ -66,4 +76,5 @@ def log_run(spark: SparkSession, path: str, status: str, clean: DataFrame, roc_a
         F.avg(spec.LABEL).alias("churn_rate"),
         F.lit(roc_auc).cast("double").alias("roc_auc"),
     )
-    save_json(line, path, mode="append")
+    line = line.withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
+    line.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").json(path)

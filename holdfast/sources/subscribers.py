@@ -27,6 +27,11 @@ def _yes_no(condition: Column) -> Column:
     return F.when(condition, "Yes").otherwise("No")
 
 
+def customer_key(order: str = "o_orderkey") -> Column:
+    """Key of the customer that an order stands for."""
+    return F.format_string("C%08d", order)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -101,7 +106,7 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, value in ADDON_BITS.items()
     ]
     return joined.select(
-        F.format_string("C%08d", "k").alias("customerID"),
+        customer_key("k").alias("customerID"),
         F.when(F.col("o_custkey") % 2 == 0, "Male").otherwise("Female").alias("gender"),
         F.when(F.col("o_custkey") % 6 == 0, 1).otherwise(0).alias("SeniorCitizen"),
         _yes_no(F.col("c_nationkey") % 2 == 0).alias("Partner"),

@@ -152,6 +152,33 @@ def test_cross_validation_covers_every_fold(spark, telco):
     assert out[0].sd_roc_auc == pytest.approx(np.std([r.roc_auc for r in out]), abs=1e-4)
 
 
+def test_folds_share_one_encoded_table(spark, telco):
+    """The rows are encoded, shuffled and sorted once; every fold's fit filters what is held."""
+    from holdfast.operators import stratify
+
+    rows = stratify.folds(telco.select(spec.KEY, *spec.FEATURES, spec.LABEL), k=3)
+    with forest.prepared(rows, forest.pipeline(2, 3), keep=["fold"]) as ready:
+        assert ready.rows.storageLevel.useMemory and ready.partitions == forest.LEAST_PARTITIONS
+        part = ready.rows.filter(F.col("fold") != 1)
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("InMemoryTableScan") < plan.index("Exchange")  # only below the held table
+        assert len(ready.fit(F.col("fold") != 1).trees) == 2
+    assert not ready.rows.storageLevel.useMemory
+
+
+def test_partitions_follow_the_rows(telco, monkeypatch):
+    monkeypatch.setattr(forest, "PARTITION_ROWS", 100)
+    with forest.prepared(telco, forest.pipeline(2, 3)) as ready:
+        assert ready.partitions == -(-telco.count() // 100) == ready.rows.rdd.getNumPartitions()
+
+
+def test_walk_finds_the_probability(spark, telco, small):
+    model, path, _ = small
+    walked = forest.walk(forest.encode(model, telco), forest.node_table(spark, f"{path}/pipeline"), 3, 4)
+    both = forest.predict(model, telco).join(walked, spec.KEY)
+    assert both.count() == telco.count() and both.filter(F.abs(F.col("probability") - F.col("walked")) > 1e-12).isEmpty()
+
+
 def long_rows(spark):
     rows = [("A", "x", 1.0, 0.3), ("B", "x", 2.0, -0.1), ("A", "y", 5.0, -0.2), ("B", "y", 6.0, -0.4), ("A", "z", 0.0, 0.05), ("B", "z", 0.0, -0.05)]
     return spark.createDataFrame(rows, "customer_id string, feature string, value double, contribution double")
