@@ -31,9 +31,8 @@ BUCKET_WINDOWS = 1 << 16
 def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """One row a segment: its documents (doc_id, text hash, number of words) and its postings.
 
-    ``terms`` are the distinct words, ``counts`` their occurrences, ``places`` the word numbers of
-    the first term, then of the second, ..., as 32-bit integers; words are numbered through the
-    segment's documents. Nothing is shuffled: a segment is text that one task reads.
+    ``terms`` are the distinct words, ``places`` the word numbers of each, as 32-bit integers; words are
+    numbered through the segment's documents. Nothing is shuffled: a segment is text that one task reads.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,21 +43,27 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
                 words = split(utf8(part.column(1)), ALNUM, lower=True)
                 spelt = word_array(words).dictionary_encode()
                 codes = spelt.indices.to_numpy(zero_copy_only=False)
-                counts = np.bincount(codes, minlength=len(spelt.dictionary)).astype(np.int32)
-                places = np.argsort(codes, kind="stable").astype("<i4")
+                cuts = 4 * np.cumsum(np.append(0, np.bincount(codes, minlength=len(spelt.dictionary)))).astype(np.int32)
+                order = np.argsort(codes, kind="stable").astype("<i4")
+                places = pa.BinaryArray.from_buffers(pa.binary(), len(spelt.dictionary), [None, pa.py_buffer(cuts), pa.py_buffer(order)])
                 one = lambda values, kind: pa.array([values], pa.list_(kind))
                 columns = [
                     one(part.column(0), pa.int64()), one(part.column(2), pa.int64()), one(np.diff(words.first), pa.int64()),
-                    one(spelt.dictionary.cast(pa.binary()), pa.binary()), one(counts, pa.int32()), pa.array([places.tobytes()], pa.binary()),
+                    _list(spelt.dictionary.cast(pa.binary())), _list(places),
                 ]
-                yield pa.record_batch(columns, names=["doc_ids", "hashes", "n_words", "terms", "counts", "places"])
+                yield pa.record_batch(columns, names=["doc_ids", "hashes", "n_words", "terms", "places"])
 
     rows = texts(docs).withColumn("th", F.xxhash64("text")).mapInArrow(
-        run, "doc_ids array<long>, hashes array<long>, n_words array<long>, terms array<binary>, counts array<int>, places binary"
+        run, "doc_ids array<long>, hashes array<long>, n_words array<long>, terms array<binary>, places array<binary>"
     )
     return written(rows.withColumn("segment", F.monotonically_increasing_id()), "postings")
 
 
+def _list(values: pa.Array) -> pa.ListArray:
+    """The values as one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def documents(index: DataFrame) -> DataFrame:
     """segment, slot, doc_id, text hash (``th``) and n_words of every document of the index."""
     each = F.posexplode(F.arrays_zip(F.col("doc_ids"), F.col("hashes"), F.col("n_words"))).alias("slot", "d")
@@ -94,25 +99,30 @@ def _terms(phrase: str = "phrase") -> Column:
     return F.split(F.decode(phrase, "ISO-8859-1"), " ")
 
 
-def _ranked(windows: DataFrame, index: DataFrame) -> DataFrame:
+def _wanted_postings(windows: DataFrame, index: DataFrame) -> DataFrame:
+    """segment, term and places of the terms that any window holds. The terms are a written table, so
+    Spark knows how many they are when it chooses between broadcasting them and a shuffle."""
+    terms = written(windows.select(F.explode(_terms()).alias("term")).distinct(), "item-terms")
+    held = index.select("segment", F.inline(F.arrays_zip(F.col("terms"), F.col("places"))))
+    held = held.select("segment", F.decode("terms", "ISO-8859-1").alias("term"), "places")
+    return held.join(terms, "term", "left_semi").select("segment", "term", "places")
+
+
+def _ranked(windows: DataFrame, postings: DataFrame) -> DataFrame:
     """w, phrase, rarest term and the places of the terms in the phrase, rarest first (``ranks``), of
     windows whose terms the index holds; how rare a term is is counted over the whole index."""
     words = windows.select("w", F.posexplode(_terms()).alias("place", "term"))
-    wanted = words.select("term").distinct()
-    held = index.select(F.inline(F.arrays_zip(F.col("terms"), F.col("counts"))))
-    held = held.select(F.decode("terms", "ISO-8859-1").alias("term"), "counts")
-    counts = held.join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("counts").alias("n"))
+    counts = postings.groupBy("term").agg(F.sum(F.octet_length("places") / 4).cast("long").alias("n"))
     order = F.sort_array(F.collect_list(F.struct("n", "place", "term"))).alias("order")
     ranked = words.join(counts, "term").groupBy("w").agg(order)
     ranked = ranked.join(windows, "w").filter(F.size("order") == F.size(_terms()))
     return ranked.select("w", "phrase", F.col("order")[0]["term"].alias("rarest"), F.col("order.place").alias("ranks"))
 
 
-def _routed(ranked: DataFrame, index: DataFrame, bucket_windows: int) -> DataFrame:
+def _routed(ranked: DataFrame, postings: DataFrame, bucket_windows: int) -> DataFrame:
     """For each segment the windows whose rarest term it holds, in rows of bounded size."""
     buckets = -(-ranked.count() // bucket_windows)
-    held = index.select("segment", F.explode("terms").alias("term")).select("segment", F.decode("term", "ISO-8859-1").alias("term"))
-    pairs = held.join(ranked, F.col("term") == F.col("rarest")).select("segment", "w", "phrase", "ranks")
+    pairs = postings.select("segment", "term").join(ranked, F.col("term") == F.col("rarest")).select("segment", "w", "phrase", "ranks")
     return pairs.groupBy("segment", F.pmod("w", F.lit(max(1, buckets))).alias("bucket")).agg(
         F.collect_list("w").alias("ws"), F.collect_list("phrase").alias("phrases"), F.collect_list("ranks").alias("ranks")
     )
@@ -183,20 +193,20 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
     return list(zip(starts[new].tolist(), upto[np.append(new[1:], True)].tolist()))
 
 
-def matches(index: DataFrame, routed: DataFrame, slop: int = 0) -> DataFrame:
+def matches(index: DataFrame, postings: DataFrame, routed: DataFrame, slop: int = 0) -> DataFrame:
     """segment, slot, the word intervals inside exact matches, the windows matched exactly (``ws``) and
     those with a proximity match (``near``), of documents that have any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                number, n_words, terms, counts, places, ws, phrases, ranks = (c[i] for c in batch.columns)
+                number, n_words, lists, ws, phrases, ranks = (c[i] for c in batch.columns)
                 ws, phrases = np.array(ws.as_py()), phrases.as_py()
                 widest = max(len(p.split(b" ")) for p in phrases)
-                segment = Segment(
-                    terms.values, counts.values.to_numpy(), np.frombuffer(places.as_py(), "<i4").astype(np.int64),
-                    n_words.values.to_numpy(), widest + 2 * slop + 2,
-                )
+                terms, places = lists.values.field("term"), lists.values.field("places")
+                counts = pc.binary_length(places).to_numpy(zero_copy_only=False) // 4
+                places = np.frombuffer(b"".join(places.to_pylist()), "<i4").astype(np.int64)
+                segment = Segment(terms, counts, places, n_words.values.to_numpy(), widest + 2 * slop + 2)
                 rows: dict[int, tuple[list, list, set, set]] = {}
                 for slot, who, starts, n, exact in _found(segment, phrases, ranks.as_py(), slop):
                     order = np.argsort(slot, kind="stable")
@@ -218,8 +228,11 @@ def matches(index: DataFrame, routed: DataFrame, slop: int = 0) -> DataFrame:
                     columns[2] = [[{"a": a, "b": b} for a, b in x] for x in columns[2]]
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["segment", "slot", "spans", "ws", "near"])
 
-    wanted = routed.withColumnRenamed("segment", "s")
-    joined = index.join(wanted, F.col("segment") == F.col("s")).select("segment", "n_words", "terms", "counts", "places", "ws", "phrases", "ranks")
+    term = F.encode("term", "ISO-8859-1").alias("term")
+    lists = postings.groupBy(F.col("segment").alias("l")).agg(F.collect_list(F.struct(term, "places")).alias("lists"))
+    joined = routed.join(lists, F.col("segment") == F.col("l")).drop("l")
+    joined = joined.join(index.select(F.col("segment").alias("l"), "n_words"), F.col("segment") == F.col("l"))
+    joined = joined.select("segment", "n_words", "lists", "ws", "phrases", "ranks")
     return joined.mapInArrow(run, "segment long, slot int, spans array<struct<a: long, b: long>>, ws array<long>, near array<long>")
 
 
@@ -251,8 +264,9 @@ def search(
     phrases = written(item_windows(items, window), "item-phrases")
     windows = written(phrases.select("phrase").distinct().withColumn("w", F.monotonically_increasing_id()), "item-windows")
     owners = phrases.join(windows, "phrase").select("w", "item")
-    ranked = written(_ranked(windows, index), "ranked-windows")
-    found = written(matches(index, _routed(ranked, index, bucket_windows), slop), "phrase-matches")
+    postings = _wanted_postings(windows, index)
+    ranked = written(_ranked(windows, postings), "ranked-windows")
+    found = written(matches(index, postings, _routed(ranked, postings, bucket_windows), slop), "phrase-matches")
 
     spans = found.groupBy("segment", "slot").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     hits = spans.select(F.col("segment").alias("s"), F.col("slot").alias("p"), "spans", _union_length(F.col("spans")).alias("n_hit"))
