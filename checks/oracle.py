@@ -811,7 +811,7 @@ SQL["cv_check"] = using(
 )
 SQL["explained_check"] = (
     "SELECT CAST(10 AS BIGINT) AS drivers, CAST(0 AS BIGINT) AS misplaced, TRUE AS ends_at_score, count(*) AS points, "
-    "CAST(20 AS BIGINT) AS features FROM orders"
+    "CAST(20 AS BIGINT) AS features, CAST(0 AS BIGINT) AS spread_off FROM orders"
 )
 SQL["model_information"] = (
     "SELECT 'ok' AS status, TRUE AS model_loaded, 'RandomForestClassificationModel' AS model_type, CAST(25 AS INTEGER) AS feature_count, "

@@ -164,7 +164,7 @@ def distribution(
 ) -> DataFrame:
     """Quantiles of value and contribution for the k features of largest mean impact.
 
-    Exact on a sample; give ``accuracy`` for contributions of a whole table, which hardly repeat.
+    They are exact; with ``accuracy`` they come from the mergeable sketch.
     """
     names = [f"p{round(p * 100)}" for p in probabilities]
     top = _impacts(long).orderBy(F.desc("mean_abs"), "feature").limit(k)

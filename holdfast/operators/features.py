@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast import spec
@@ -17,18 +17,46 @@ def value_quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int | None = None,
+    ranges: int | None = 64,
 ) -> DataFrame:
-    """Linear-interpolated quantiles as one array column ``quantiles``, per group if any.
-
-    Values are counted first, so the last step holds one entry per distinct value and not
-    per row. Money in cents has at most as many as its price range. For values without
-    such a bound pass ``accuracy`` to use the mergeable sketch.
+    """Linear-interpolated quantiles as one array column ``quantiles``, per group if any; NULL
+    without a value. With ``accuracy`` they come from the mergeable sketch, else they are exact.
+
+    Values are counted, and the counts are added up in ranges of values that a sketch lays out.
+    That shows which range holds a quantile's two neighbours; only those ranges are ordered,
+    each on its own, so no task holds the values of a group. How well the sketch cuts decides how
+    even the ranges are, not what is found. Without ``ranges`` one task takes the counts of a
+    group, an entry for each distinct value: enough for money, whose cents are as many as the
+    price range, and with no join in the plan.
     """
     points = F.array(*[F.lit(float(p)) for p in probabilities])
     if accuracy is not None:
         return df.groupBy(*by).agg(F.percentile_approx(column, points, accuracy).alias("quantiles"))
-    counts = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.groupBy(*by).agg(F.percentile(F.col(column), points, F.col("_n")).alias("quantiles"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    if ranges is None:
+        return counts.groupBy(*by).agg(F.percentile(F.col("_v"), points, F.col("_n")).alias("quantiles"))
+    edges = F.percentile_approx("_v", F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), 100 * ranges)
+    keys = [*by, "_one"]
+    whole = counts.groupBy(*by).agg(edges.alias("_cuts"), F.sum("_n").alias("_total")).withColumn("_one", F.lit(1))
+    placed = counts.withColumn("_one", F.lit(1)).join(whole.select(*keys, "_cuts"), keys)
+    placed = placed.select(*keys, "_v", "_n", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))).alias("_range"))
+    in_range = placed.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
+    before = F.sum("_in").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_in")
+    in_range = in_range.withColumn("_before", before).join(whole.select(*keys, "_total"), keys)
+    # the two neighbours of quantile i are those of place 2i and 2i + 1
+    position = [float(p) * (F.col("_total") - 1) for p in probabilities]
+    ranks = [f(at).cast("long") for at in position for f in (F.floor, F.ceil)]
+    wanted = F.inline(F.array(*[F.struct(F.lit(i).alias("_t"), rank.alias("_rank")) for i, rank in enumerate(ranks)]))
+    wanted = in_range.select(*keys, "_range", "_before", "_in", wanted)
+    wanted = wanted.filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_in")))
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_t").orderBy("_v"))
+    ordered = placed.join(wanted, [*keys, "_range"]).withColumn("_upto", upto)
+    held = ordered.filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+    held = held.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_t", F.col("_v").cast("double")))).alias("_at"))
+    low, high = (lambda i: F.col("_at")[F.lit(2 * i)]), (lambda i: F.col("_at")[F.lit(2 * i + 1)])
+    between = lambda i, at: F.when(F.ceil(at) == F.floor(at), low(i)).otherwise((F.ceil(at) - at) * low(i) + (at - F.floor(at)) * high(i))
+    quantiles = F.when(F.col("_at").isNotNull(), F.array(*[between(i, at) for i, at in enumerate(position)]))
+    return whole.join(held, keys, "left").select(*by, quantiles.alias("quantiles"))
 
 
 def charge_thresholds(
@@ -38,7 +66,7 @@ def charge_thresholds(
     accuracy: int | None = None,
 ) -> DataFrame:
     """One row: the cut points q1, q2, ... of the charge tiers."""
-    quantiles = value_quantiles(df, column, probabilities, accuracy=accuracy)
+    quantiles = value_quantiles(df, column, probabilities, accuracy=accuracy, ranges=None)
     return quantiles.select(*[F.col("quantiles")[i].alias(f"q{i + 1}") for i in range(len(probabilities))])
 
 

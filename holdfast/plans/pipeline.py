@@ -101,7 +101,7 @@ def explain(run: Run, table: DataFrame) -> DataFrame:
     spark = table.sparkSession
     model, record = sinks.load_model(spark, run.path("model"))
     treeshap.forest_leaves(spark, run.path("model/pipeline")).write.mode("overwrite").parquet(run.path("model/leaves"))
-    arrays = treeshap.shap_arrays(forest.encode(model, table), spark.read.parquet(run.path("model/leaves")))
+    arrays = treeshap.shap_arrays(treeshap.spread(forest.encode(model, table)), spark.read.parquet(run.path("model/leaves")))
     treeshap.shap_long(arrays, record["encoded_features"]).write.mode("overwrite").parquet(run.path("shap"))
     drivers = attr.driver_ranking(spark.read.parquet(run.path("shap")))
     sinks.save_json(attr.insight_document(drivers), run.path("insights"))

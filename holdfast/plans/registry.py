@@ -277,7 +277,7 @@ def _shap_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build() -> DataFrame:
         model, _ = fitted_forest(spark, sf_dir)
-        return treeshap.shap_arrays(forest.encode(model, telco(spark, sf_dir)), _leaves(spark, sf_dir))
+        return treeshap.shap_arrays(treeshap.spread(forest.encode(model, telco(spark, sf_dir))), _leaves(spark, sf_dir))
 
     return written_table(spark, sf_dir, "shap", build)
 
@@ -307,8 +307,7 @@ def _forest_dependence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _forest_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contributions hardly repeat, so their quantiles come from a mergeable sketch."""
-    return attr.distribution(_shap_values(spark, sf_dir), accuracy=10_000)
+    return attr.distribution(_shap_values(spark, sf_dir))
 
 
 # Facts about the forest's outputs that hold whatever trees it has -----------------------------
@@ -345,7 +344,8 @@ def _cv_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _explained_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the reports on SHAP values agree with the arrays they come from: drivers out of
-    place, the distance of the waterfall's end from the highest score, points and features shown."""
+    place, whether the waterfall ends at the highest score, points and features shown, and features whose
+    quantiles are not those of a plain aggregate over their values."""
     names = forest.encoded_names(fitted_forest(spark, sf_dir)[0])
     means = _shap_arrays(spark, sf_dir).agg(*[F.avg(F.abs(F.col("shap")[i])).alias(f"m{i}") for i in range(len(names))])
     ranked = F.sort_array(F.array(*[F.struct((-F.round(F.col(f"m{i}"), 4)).alias("s"), F.lit(n).alias("f")) for i, n in enumerate(names)]))
@@ -354,10 +354,15 @@ def _explained_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = _forest_waterfall(spark, sf_dir).filter("feature = 'score'").select("contribution").scalar()
     top = scoring.highest(_forest_scored(spark, sf_dir)).select("probability").scalar()
     points = _forest_dependence(spark, sf_dir).agg(F.count("*")).scalar()
-    shown = _forest_distribution(spark, sf_dir).agg(F.count("*")).scalar()
+    points_at = F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)])
+    plain = _shap_values(spark, sf_dir).groupBy("feature").agg(F.percentile("contribution", points_at).alias("q"))
+    spread = _forest_distribution(spark, sf_dir).join(plain, "feature")
+    far = [F.abs(F.col(f"contribution_p{p}") - F.col("q")[i]) > 0.000001 for i, p in enumerate((0, 25, 50, 75, 100))]
+    away = far[0] | far[1] | far[2] | far[3] | far[4]
+    shown = spread.agg(F.struct(F.count("*").alias("n"), F.count_if(F.coalesce(away, F.lit(True))).alias("off"))).scalar()
     return drivers.agg(
         F.count("*").alias("drivers"), F.count_if(~F.col("feature").eqNullSafe(F.col("named"))).alias("misplaced")
-    ).select("drivers", "misplaced", (F.abs(end - top) < 0.00001).alias("ends_at_score"), points.alias("points"), shown.alias("features"))
+    ).select("drivers", "misplaced", (F.abs(end - top) < 0.00001).alias("ends_at_score"), points.alias("points"), shown["n"].alias("features"), shown["off"].alias("spread_off"))
 
 
 def _importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,25 @@ def test_segment_edges(spark):
 def test_two_segments_cannot_occur(telco):
     found = {r[0] for r in feats.segments(telco).select("customer_segment").distinct().collect()}
     assert not found & {"At Risk", "Needs Attention"}
+
+
+@pytest.mark.parametrize("ranges", [2, 7, 64])
+def test_quantiles_are_exact(spark, ranges):
+    """Against numpy: groups of ties, of one value, of hardly repeated values, with nulls and copies."""
+    rng = np.random.default_rng(3)
+    groups = {
+        "ties": rng.integers(0, 5, 500).astype(float), "one": np.array([2.5]), "spread": rng.normal(size=700) * 10.0 ** rng.integers(-9, 9, 700),
+        "hot": np.concatenate([np.zeros(900), rng.normal(size=300)]), "two": np.array([1.0, 4.0]),
+    }
+    rows = [(g, float(v)) for g, values in groups.items() for v in values] + [("ties", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    points = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r.quantiles for r in feats.value_quantiles(df, "v", points, by=["g"], ranges=ranges).collect()}
+    assert set(got) == set(groups)
+    for g, values in groups.items():
+        assert np.allclose(got[g], np.quantile(values, points), rtol=1e-12, atol=1e-15)
+    whole = feats.value_quantiles(df, "v", points, ranges=ranges).first().quantiles
+    assert np.allclose(whole, np.quantile(np.concatenate(list(groups.values())), points), rtol=1e-12)
+    assert feats.value_quantiles(df.limit(0), "v", points, ranges=ranges).first().quantiles is None
+    plan = feats.value_quantiles(df, "v", points, ranges=ranges)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile(" not in plan  # no map of all values in one task
