@@ -665,13 +665,11 @@ def _field_error(field: str, rule: str, broken: str) -> str:
     return f"CASE WHEN {field} IS NULL THEN '{field}:missing' WHEN {broken} THEN '{field}:{rule}' END"
 
 
-define(
-    "judged",
-    "SELECT *, list_filter(["
-    + ", ".join(_field_error(*r) for r in REQUESTS)
-    + "], lambda e: e IS NOT NULL) AS found FROM online",
-    "online",
-)
+_FOUND = "SELECT *, list_filter([" + ", ".join(_field_error(*r) for r in REQUESTS) + "], lambda e: e IS NOT NULL) AS found"
+define("judged", f"{_FOUND} FROM online", "online")
+# requests count the services as the model learned them, without the phone
+define("requested", "SELECT * REPLACE (num_services - (phone_service = 'Yes')::INTEGER AS num_services) FROM online", "online")
+define("judged_requests", f"{_FOUND} FROM requested", "requested")
 SQL["validate_records"] = using(
     "judged",
     "SELECT customer_id, len(found) = 0 AS is_valid, CAST(len(found) AS INTEGER) AS error_count, "
@@ -716,8 +714,8 @@ define(
     "streamed",
     f"""SELECT *, (least(100, greatest(0, {_T_CONTRACT} + {_T_TENURE}
       + (internet_service = 'Fiber optic')::INTEGER * 10 + {_T_CHARGES} - support_score * 5 - least(num_services * 3, 15)))) / CAST(100 AS DOUBLE) AS p
-    FROM judged""",
-    "judged",
+    FROM judged_requests""",
+    "judged_requests",
 )
 SQL["stream_rule_score"] = using(
     "streamed",
@@ -802,7 +800,9 @@ SQL["waterfall_rows"] = using(
 )
 SQL["shap_check"] = "SELECT count(*) AS rows_checked, CAST(0 AS BIGINT) AS rows_off FROM orders"
 SQL["score_check"] = "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off, CAST(0 AS BIGINT) AS scores_off FROM orders"
-SQL["stream_check"] = using("judged", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off FROM judged WHERE len(found) = 0")
+SQL["stream_check"] = using(
+    "judged_requests", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS rows_off FROM judged_requests WHERE len(found) = 0"
+)
 SQL["train_check"] = using(
     "graded", "SELECT count(*) AS test_size, count(*) AS counted, TRUE AS passed FROM graded WHERE is_test = 1"
 )

@@ -122,9 +122,12 @@ def engineer(
     ).drop("_cuts")
 
 
-def online_features(clean: DataFrame, cuts: Sequence[float] = spec.LIVE_CHARGE_CUTS) -> DataFrame:
-    """Features as the live form derives them: fixed cut points, phone counted as a service."""
-    full = engineer(clean, cuts, services=spec.ALL_SERVICES, spend_mode="at_least_one")
+def online_features(
+    clean: DataFrame, cuts: Sequence[float] = spec.LIVE_CHARGE_CUTS, services: Sequence[str] = spec.ALL_SERVICES
+) -> DataFrame:
+    """Features as the live form derives them: fixed cut points, phone counted as a service. Requests
+    to a model count the ``services`` it was trained on (``spec.ADDON_SERVICES``)."""
+    full = engineer(clean, cuts, services=services, spend_mode="at_least_one")
     return full.select(spec.KEY, *spec.FEATURES)
 
 

@@ -402,7 +402,7 @@ def _score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies of the stream, and those that are not also replies of the batch, or the other way."""
     model, _ = fitted_forest(spark, sf_dir)
-    requests = quality.validate(feats.online_features(clean_table(spark, sf_dir))).filter("is_valid").drop("errors", "is_valid")
+    requests = quality.validate(_requests(spark, sf_dir)).filter("is_valid").drop("errors", "is_valid")
     batch = scoring.reply(forest.predict(model, requests))
     side = lambda df, n: df.groupBy(*batch.columns).agg(F.count("*").alias("n")).withColumn("n", F.col("n") * n)
     both = side(_stream_score(spark, sf_dir), 1).unionByName(side(batch, -1))
@@ -517,10 +517,15 @@ def _saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams ----------------------------------------------------------------------------------
 
 
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of all customers, with the services counted as the forest learned them."""
+    return feats.online_features(clean_table(spark, sf_dir), services=spec.ADDON_SERVICES)
+
+
 def _streamed(spark: SparkSession, sf_dir: str, scorer) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected records of a stream over the request files."""
     requests = written_once(
-        spark, sf_dir, "requests", lambda path: feats.online_features(clean_table(spark, sf_dir)).write.parquet(path)
+        spark, sf_dir, "requests", lambda path: _requests(spark, sf_dir).write.parquet(path)
     )
     base = new_path(spark, "stream")
     accepted, rejected = f"{base}/accepted", f"{base}/rejected"

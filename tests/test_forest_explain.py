@@ -136,7 +136,7 @@ def test_stream_equals_batch(spark, sf_dir):
     from holdfast.operators import features as feats
     from holdfast.operators import quality
 
-    checked = quality.validate(feats.online_features(registry.clean_table(spark, sf_dir)))
+    checked = quality.validate(feats.online_features(registry.clean_table(spark, sf_dir), services=spec.ADDON_SERVICES))
     batch = scoring.reply(forest.predict(model, checked.filter("is_valid").drop("errors", "is_valid")))
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(streamed) == rows(batch) != []
