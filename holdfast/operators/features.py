@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast import spec
-from holdfast.functions import band, code_map, first_match, round_away, yes_count
+from holdfast.functions import band, code_map, cut_points, first_match, range_of, round_away, yes_count
 
 
 def value_quantiles(
@@ -35,11 +35,10 @@ def value_quantiles(
     counts = df.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     if ranges is None:
         return counts.groupBy(*by).agg(F.percentile(F.col("_v"), points, F.col("_n")).alias("quantiles"))
-    edges = F.percentile_approx("_v", F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), 100 * ranges)
     keys = [*by, "_one"]
-    whole = counts.groupBy(*by).agg(edges.alias("_cuts"), F.sum("_n").alias("_total")).withColumn("_one", F.lit(1))
+    whole = counts.groupBy(*by).agg(cut_points("_v", ranges).alias("_cuts"), F.sum("_n").alias("_total")).withColumn("_one", F.lit(1))
     placed = counts.withColumn("_one", F.lit(1)).join(whole.select(*keys, "_cuts"), keys)
-    placed = placed.select(*keys, "_v", "_n", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))).alias("_range"))
+    placed = placed.select(*keys, "_v", "_n", range_of(F.col("_v"), F.col("_cuts")).alias("_range"))
     in_range = placed.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
     before = F.sum("_in").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_in")
     in_range = in_range.withColumn("_before", before).join(whole.select(*keys, "_total"), keys)
