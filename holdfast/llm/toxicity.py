@@ -230,15 +230,25 @@ def score(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, tr
     """Calibrated probability of label 1 for every row, from its text alone.
 
     The lexicon and the trees learn from parts 2 to 4 of the labelled rows, the calibration from part 1; part 0 is
-    held out. Where the training rows show one class or none, every score is the share of
+    held out. The trees see each row through a lexicon learned from the other two parts, so its own
+    words do not vouch for it. Where the training rows show one class or none, every score is the share of
     label 1 among them (0 without any). Null or empty text: scored as a text without words.
     Repeated rows stay. Empty table: no rows.
     """
     truth = written(training_labels(labels, sample_rows), "toxicity-labels")
-    terms = learn_lexicon(docs, truth.filter("part > 1")).select("kind", "term", "log_odds").collect()
-    marked = written(featurise(docs, lexicon=Lexicon.of(terms)), "toxicity-features")
-    train = marked.join(truth, F.col("doc_id") == F.col("id"))
+    labelled = texts(docs).join(truth.select("id", "part"), F.col("doc_id") == F.col("id")).select("doc_id", "text", "part")
+    labelled = written(labelled, "toxicity-texts")
+
+    def lexicon(without: int) -> Lexicon:
+        rows = learn_lexicon(labelled, truth.filter((F.col("part") > 1) & (F.col("part") != without)))
+        return Lexicon.of(rows.select("kind", "term", "log_odds").collect())
+
+    whole = lexicon(1)
+    seen_by = {1: whole, **{part: lexicon(part) for part in (2, 3, 4)}}
+    parts = [featurise(labelled.filter(F.col("part") == part), lexicon=own) for part, own in seen_by.items()]
+    train = parts[0].union(parts[1]).union(parts[2]).union(parts[3]).join(truth, F.col("doc_id") == F.col("id"))
     train = written(train.select("id", "part", "label", array_to_vector("x").alias("features")), "toxicity-training")
+    marked = written(featurise(docs, lexicon=whole), "toxicity-features")
     seen = {(r.fit, r.label): r["count"] for r in train.groupBy((F.col("part") > 1).alias("fit"), "label").count().collect()}
     base = marked.select("doc_id", "x", array_to_vector("x").alias("features"))
     if not (seen.get((True, 0.0)) and seen.get((True, 1.0))):
