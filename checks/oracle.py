@@ -11,9 +11,11 @@ from holdfast import spec
 # Columns of the model, and the rules of data and requests, written out here so that
 # a wrong rule in the library does not pass.
 NUMERIC = ["tenure", "monthly_charges", "total_charges", "num_services", "avg_monthly_spend", "contract_risk_score", "support_score"]
-CATEGORICAL = """gender senior_citizen partner dependents phone_service multiple_lines internet_service online_security online_backup
-device_protection tech_support streaming_tv streaming_movies contract paperless_billing payment_method tenure_segment
-monthly_charges_tier""".split()
+CATEGORICAL = [
+    "gender", "senior_citizen", "partner", "dependents", "phone_service", "multiple_lines", "internet_service", "online_security",
+    "online_backup", "device_protection", "tech_support", "streaming_tv", "streaming_movies", "contract", "paperless_billing",
+    "payment_method", "tenure_segment", "monthly_charges_tier",
+]
 CONTRACT_VALUES = "'Month-to-month', 'One year', 'Two year'"
 INTERNET_VALUES = "'DSL', 'Fiber optic', 'No'"
 SEGMENT_VALUES = "'New', 'Growing', 'Established', 'Loyal', 'Champion'"
