@@ -1,7 +1,6 @@
 import hashlib
 import random
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,21 +139,3 @@ def test_copies_of_a_key_stay_together_and_do_not_break_the_split(spark):
     assert parted.filter("customer_id = 'hot'").select("is_test").distinct().count() == 1
     assert 120 <= parted.filter("is_test = 1").count() < 320
     assert stratify.sample(df, 50).count() == 50
-
-
-def test_scores_in_a_narrow_band_are_spread(spark):
-    """Scores that differ in the ninth digit, and a few far off: ranges hold about as many each, and
-    the area and the curve are those of plain Python."""
-    rng = np.random.default_rng(4)
-    scores = np.concatenate([0.5 + rng.integers(0, 4000, 5000) * 1e-9, [-1e6, 1e6, 0.0]])
-    labels = (rng.random(len(scores)) < 0.3 + 0.4 * (scores > 0.5 + 2e-6)).astype(int)
-    df = spark.createDataFrame([(int(y), float(s)) for y, s in zip(labels, scores)], "churn_flag int, score double").repartition(4)
-    sizes = [r["count"] for r in ev.score_counts(df).groupBy("bucket").count().collect()]
-    assert len(sizes) > ev.RANGES * 0.9 and max(sizes) < 4 * len(set(scores.tolist())) / ev.RANGES
-    pos, neg = scores[labels == 1], scores[labels == 0]
-    below = (neg[None, :] < pos[:, None]).sum() + (neg[None, :] == pos[:, None]).sum() / 2
-    assert ev.roc_auc(df).first().roc_auc == pytest.approx(below / (len(pos) * len(neg)), abs=1e-12)
-    points = {r.threshold: (r.tpr, r.fpr) for r in ev.roc_curve(df, drop_straight=False).collect()}
-    assert len(points) == len(set(scores.tolist())) + 1
-    for t in rng.choice(scores, 50):
-        assert points[t] == pytest.approx(((pos >= t).mean(), (neg >= t).mean()))
