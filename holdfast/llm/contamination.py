@@ -13,29 +13,40 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.arrays import ALNUM, blocks, ragged, split, text_blocks, utf8, word_array
-from holdfast.llm.tables import texts, written
+from holdfast.llm.tables import PLAIN_READS, texts, written
 
 WINDOW = 13
 #: Words a term of a proximity match may stand off its place.
 SLOP = 2
 #: Text of an index segment, about.
 SEGMENT_BYTES = 4 << 20
-#: Windows looked for in a segment at once; more come in further rows.
+#: Terms and places of a row of the index, about; a segment with more has further rows.
+ROW_BYTES = 1 << 20
+#: Text that a task of the index holds at once, about.
+BATCH_BYTES = 16 << 20
+#: Windows looked for in a segment at once; more come after them.
 BUCKET_WINDOWS = 1 << 16
+#: Row groups of the index, so that neither its writers nor its readers hold a file's rows at once: a
+#: reader of lists takes up to 4,096 rows together.
+_INDEX_FILES = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", **PLAIN_READS}
 
 
-def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """One row a segment: its documents (doc_id, text hash, number of words) and its postings.
+def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES, row_bytes: int = ROW_BYTES) -> DataFrame:
+    """The documents of each segment (doc_id, text hash, number of words) and its postings.
 
     ``terms`` are the distinct words, ``places`` the word numbers of each, as 32-bit integers; words are
-    numbered through the segment's documents. Nothing is shuffled: a segment is text that one task reads.
+    numbered through the segment's documents. A segment whose postings exceed ``row_bytes`` has several
+    rows, each with some of the terms; its documents stand in the first. Nothing is shuffled: a segment
+    is text that one task reads.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             for lo, hi in blocks(sizes, size=lambda n: n, limit=segment_bytes):
@@ -46,17 +57,19 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
                 cuts = 4 * np.cumsum(np.append(0, np.bincount(codes, minlength=len(spelt.dictionary)))).astype(np.int32)
                 order = np.argsort(codes, kind="stable").astype("<i4")
                 places = pa.BinaryArray.from_buffers(pa.binary(), len(spelt.dictionary), [None, pa.py_buffer(cuts), pa.py_buffer(order)])
-                one = lambda values, kind: pa.array([values], pa.list_(kind))
-                columns = [
-                    one(part.column(0), pa.int64()), one(part.column(2), pa.int64()), one(np.diff(words.first), pa.int64()),
-                    _list(spelt.dictionary.cast(pa.binary())), _list(places),
-                ]
-                yield pa.record_batch(columns, names=["doc_ids", "hashes", "n_words", "terms", "places"])
+                terms = spelt.dictionary.cast(pa.binary())
+                owned = [part.column(0), part.column(2), pa.array(np.diff(words.first), pa.int64())]
+                size = pc.binary_length(terms).to_numpy(zero_copy_only=False) + np.diff(cuts)
+                for a, b in blocks(size.tolist(), size=int, limit=row_bytes) if len(terms) else [(0, 0)]:
+                    columns = [_list(c.cast(pa.int64()).slice(0, None if a == 0 else 0)) for c in owned]
+                    columns += [_list(terms.slice(a, b - a)), _list(places.slice(a, b - a))]
+                    yield pa.record_batch([pa.array([number], pa.int64()), *columns], names=["segment", "doc_ids", "hashes", "n_words", "terms", "places"])
+                number += 1
 
     rows = texts(docs).withColumn("th", F.xxhash64("text")).mapInArrow(
-        run, "doc_ids array<long>, hashes array<long>, n_words array<long>, terms array<binary>, places array<binary>"
+        run, "segment long, doc_ids array<long>, hashes array<long>, n_words array<long>, terms array<binary>, places array<binary>"
     )
-    return written(rows.withColumn("segment", F.monotonically_increasing_id()), "postings")
+    return written(rows, "postings", {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}, **_INDEX_FILES)
 
 
 def _list(values: pa.Array) -> pa.ListArray:
@@ -119,13 +132,9 @@ def _ranked(windows: DataFrame, postings: DataFrame) -> DataFrame:
     return ranked.select("w", "phrase", F.col("order")[0]["term"].alias("rarest"), F.col("order.place").alias("ranks"))
 
 
-def _routed(ranked: DataFrame, postings: DataFrame, bucket_windows: int) -> DataFrame:
-    """For each segment the windows whose rarest term it holds, in rows of bounded size."""
-    buckets = -(-ranked.count() // bucket_windows)
-    pairs = postings.select("segment", "term").join(ranked, F.col("term") == F.col("rarest")).select("segment", "w", "phrase", "ranks")
-    return pairs.groupBy("segment", F.pmod("w", F.lit(max(1, buckets))).alias("bucket")).agg(
-        F.collect_list("w").alias("ws"), F.collect_list("phrase").alias("phrases"), F.collect_list("ranks").alias("ranks")
-    )
+def _routed(ranked: DataFrame, postings: DataFrame) -> DataFrame:
+    """The windows of each segment: those whose rarest term it holds."""
+    return postings.select("segment", "term").join(ranked, F.col("term") == F.col("rarest")).select("segment", "w", "phrase", "ranks")
 
 
 class Segment:
@@ -193,47 +202,83 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
     return list(zip(starts[new].tolist(), upto[np.append(new[1:], True)].tolist()))
 
 
-def matches(index: DataFrame, postings: DataFrame, routed: DataFrame, slop: int = 0) -> DataFrame:
+def _looked_up(number: int, segment: Segment, windows: list[tuple[int, bytes, list[int]]], slop: int) -> pa.RecordBatch:
+    """A row for each document of the segment that has a match of the windows."""
+    ws, phrases, ranks = (list(c) for c in zip(*windows))
+    ws = np.array(ws)
+    rows: dict[int, tuple[list, list, set, set]] = {}
+    for slot, who, starts, n, exact in _found(segment, phrases, ranks, slop):
+        order = np.argsort(slot, kind="stable")
+        slot, who, starts = slot[order], who[order], starts[order]
+        cuts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, int)
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(slot)]):
+            begins, ends, held, near = rows.setdefault(int(slot[a]), ([], [], set(), set()))
+            (held if exact else near).update(ws[who[a:b]].tolist())
+            if exact:
+                begins.append(starts[a:b])
+                ends.append(starts[a:b] + n)
+    made = [
+        (number, slot, _merged(np.concatenate(begins), np.concatenate(ends)) if begins else [], sorted(held), sorted(near))
+        for slot, (begins, ends, held, near) in sorted(rows.items())
+    ]
+    kinds = (pa.int64(), pa.int32(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    columns = [list(c) for c in zip(*made)] if made else [[] for _ in kinds]
+    columns[2] = [[{"a": a, "b": b} for a, b in x] for x in columns[2]]
+    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["segment", "slot", "spans", "ws", "near"])
+
+
+def _segment(n_words: list[np.ndarray], terms: list[pa.Array], places: list[pa.Array], gap: int) -> Segment:
+    lists = pa.chunked_array(places, pa.binary())
+    counts = pc.binary_length(lists).to_numpy() // 4
+    numbers = np.frombuffer(b"".join(lists.to_pylist()), "<i4").astype(np.int64)
+    return Segment(pa.chunked_array(terms, pa.binary()).combine_chunks(), counts, numbers, np.concatenate(n_words), gap)
+
+
+def matches(
+    index: DataFrame, postings: DataFrame, routed: DataFrame, slop: int = 0, bucket_windows: int = BUCKET_WINDOWS, window: int = WINDOW
+) -> DataFrame:
     """segment, slot, the word intervals inside exact matches, the windows matched exactly (``ws``) and
-    those with a proximity match (``near``), of documents that have any."""
+    those with a proximity match (``near``), of documents that have any.
+
+    A segment's documents, postings and windows come to a task in this order, as rows of one sorted
+    frame: a task holds one segment and ``bucket_windows`` windows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, parts, segment, windows = None, ([], [], []), None, []
         for batch in batches:
-            for i in range(len(batch)):
-                number, n_words, lists, ws, phrases, ranks = (c[i] for c in batch.columns)
-                ws, phrases = np.array(ws.as_py()), phrases.as_py()
-                widest = max(len(p.split(b" ")) for p in phrases)
-                terms, places = lists.values.field("term"), lists.values.field("places")
-                counts = pc.binary_length(places).to_numpy(zero_copy_only=False) // 4
-                places = np.frombuffer(b"".join(places.to_pylist()), "<i4").astype(np.int64)
-                segment = Segment(terms, counts, places, n_words.values.to_numpy(), widest + 2 * slop + 2)
-                rows: dict[int, tuple[list, list, set, set]] = {}
-                for slot, who, starts, n, exact in _found(segment, phrases, ranks.as_py(), slop):
-                    order = np.argsort(slot, kind="stable")
-                    slot, who, starts = slot[order], who[order], starts[order]
-                    cuts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, int)
-                    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(slot)]):
-                        begins, ends, held, near = rows.setdefault(int(slot[a]), ([], [], set(), set()))
-                        (held if exact else near).update(ws[who[a:b]].tolist())
-                        if exact:
-                            begins.append(starts[a:b])
-                            ends.append(starts[a:b] + n)
-                made = [
-                    (number.as_py(), slot, _merged(np.concatenate(begins), np.concatenate(ends)) if begins else [], sorted(held), sorted(near))
-                    for slot, (begins, ends, held, near) in sorted(rows.items())
-                ]
-                if made:
-                    kinds = (pa.int64(), pa.int32(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                    columns = [list(c) for c in zip(*made)]
-                    columns[2] = [[{"a": a, "b": b} for a, b in x] for x in columns[2]]
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["segment", "slot", "spans", "ws", "near"])
-
-    term = F.encode("term", "ISO-8859-1").alias("term")
-    lists = postings.groupBy(F.col("segment").alias("l")).agg(F.collect_list(F.struct(term, "places")).alias("lists"))
-    joined = routed.join(lists, F.col("segment") == F.col("l")).drop("l")
-    joined = joined.join(index.select(F.col("segment").alias("l"), "n_words"), F.col("segment") == F.col("l"))
-    joined = joined.select("segment", "n_words", "lists", "ws", "phrases", "ranks")
-    return joined.mapInArrow(run, "segment long, slot int, spans array<struct<a: long, b: long>>, ws array<long>, near array<long>")
+            of, kinds = (batch.column(i).to_numpy() for i in (0, 1))
+            cuts = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (kinds[1:] != kinds[:-1]))) if len(of) else np.zeros(0, int)
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(of)]):
+                if of[a] != number:
+                    if windows:
+                        yield _looked_up(number, segment, windows, slop)
+                    number, parts, segment, windows = int(of[a]), ([], [], []), None, []
+                at, n_words, words, places, ranks = (batch.column(i).slice(a, b - a) for i in range(2, 7))
+                if kinds[a] == 0:
+                    parts[0].append(n_words.to_numpy())
+                elif kinds[a] == 1:
+                    parts[1].append(words)
+                    parts[2].append(places)
+                else:
+                    segment = segment or _segment(*parts, window + 2 * slop + 2)
+                    windows += zip(at.to_pylist(), words.to_pylist(), ranks.to_pylist())
+                    while len(windows) > bucket_windows:
+                        yield _looked_up(number, segment, windows[:bucket_windows], slop)
+                        windows = windows[bucket_windows:]
+        if windows:
+            yield _looked_up(number, segment, windows, slop)
+
+    def rows(frame: DataFrame, kind: int, **columns: Column) -> DataFrame:
+        held = {"number": "long", "n_words": "long", "words": "binary", "places": "binary", "ranks": "array<int>"}
+        each = [columns.get(c, F.lit(None)).cast(t).alias(c) for c, t in held.items()]
+        return frame.select("segment", F.lit(kind).alias("kind"), *each)
+
+    stream = rows(documents(index), 0, number=F.col("slot"), n_words=F.col("n_words"))
+    stream = stream.unionByName(rows(postings, 1, words=F.encode("term", "ISO-8859-1"), places=F.col("places")))
+    stream = stream.unionByName(rows(routed, 2, number=F.col("w"), words=F.col("phrase"), ranks=F.col("ranks")))
+    stream = stream.repartition("segment").sortWithinPartitions("segment", "kind", "number")
+    return stream.mapInArrow(run, "segment long, slot int, spans array<struct<a: long, b: long>>, ws array<long>, near array<long>")
 
 
 def _union_length(spans: Column) -> Column:
@@ -248,7 +293,7 @@ def _union_length(spans: Column) -> Column:
 
 def search(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, segment_bytes: int = SEGMENT_BYTES,
-    bucket_windows: int = BUCKET_WINDOWS,
+    bucket_windows: int = BUCKET_WINDOWS, row_bytes: int = ROW_BYTES,
 ) -> DataFrame:
     """Every row by doc_id and text hash (``th``), with its word count, the words hit (``n_hit``, inside
     an exact match), their intervals (``spans``), the items matched exactly (``item_ids``) and those with
@@ -260,13 +305,13 @@ def search(
     and items have no words. Items that share an id are one item. Null doc_id and repeated rows stay;
     empty tables give no rows or no hits.
     """
-    index = build_index(docs, segment_bytes)
+    index = build_index(docs, segment_bytes, row_bytes)
     phrases = written(item_windows(items, window), "item-phrases")
     windows = written(phrases.select("phrase").distinct().withColumn("w", F.monotonically_increasing_id()), "item-windows")
     owners = phrases.join(windows, "phrase").select("w", "item")
     postings = _wanted_postings(windows, index)
     ranked = written(_ranked(windows, postings), "ranked-windows")
-    found = written(matches(index, postings, _routed(ranked, postings, bucket_windows), slop), "phrase-matches")
+    found = written(matches(index, postings, _routed(ranked, postings), slop, bucket_windows, window), "phrase-matches")
 
     spans = found.groupBy("segment", "slot").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     hits = spans.select(F.col("segment").alias("s"), F.col("slot").alias("p"), "spans", _union_length(F.col("spans")).alias("n_hit"))

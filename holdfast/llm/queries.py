@@ -11,7 +11,7 @@ from holdfast.llm import (
     whitening,
 )
 from holdfast.llm.sql import SQL
-from holdfast.llm.tables import read
+from holdfast.llm.tables import PLAIN_READS, read
 from holdfast.session import new_path
 
 
@@ -28,7 +28,8 @@ def op2_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("th")
+    docs = read(spark, sf_dir, "documents", **PLAIN_READS)
+    return contamination.contamination(docs, read(spark, sf_dir, "benchmark")).drop("th")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 import tiktoken
@@ -193,6 +194,30 @@ def test_postings_are_stored(spark, docs):
     assert all((np.diff(p) > 0).all() for p in places)
 
 
+@pytest.mark.parametrize("settings", [{"row_bytes": 40}, {"segment_bytes": 300, "row_bytes": 40, "bucket_windows": 1}])
+def test_postings_in_rows_of_bounded_size(spark, docs, settings):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert rows_of(contamination.contamination(docs, items, **settings).drop("th")) == order(brute.contaminated(ROWS, ITEMS))
+    index = contamination.build_index(docs, settings.get("segment_bytes", 1 << 20), 40)
+    size = lambda r: sum(len(t) + len(p) for t, p in zip(r.terms, r.places))
+    rows = index.collect()
+    assert all(size(r) <= 40 or len(r.terms) == 1 for r in rows) and contamination.documents(index).count() == len(ROWS)
+    by = {}
+    for r in rows:
+        by.setdefault(r.segment, []).append(r)
+    for parts in by.values():
+        places = sorted(np.concatenate([np.frombuffer(p, "<i4") for r in parts for p in r.places] or [np.zeros(0, "<i4")]))
+        assert places == list(range(sum(n for r in parts for n in r.n_words))) and sum(bool(r.doc_ids) for r in parts) == 1
+
+
+def test_postings_in_row_groups_of_bounded_size(spark):
+    rng = np.random.default_rng(3)
+    texts = [(i, " ".join(map(str, rng.integers(10**8, 10**9, 100_000).tolist()))) for i in range(24)]
+    index = contamination.build_index(frame(spark, texts, 1))
+    groups = [m.row_group(i) for f in index.inputFiles() for m in (pq.ParquetFile(f.removeprefix("file:")).metadata,) for i in range(m.num_row_groups)]
+    assert sum(g.total_byte_size for g in groups) > 40_000_000 and max(g.total_byte_size for g in groups) < 20_000_000
+
+
 def test_clean_keeps_rows_and_columns(spark, docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     bad = order((d, n) for d, n, *_, c in brute.contaminated(ROWS, ITEMS) if not c)
